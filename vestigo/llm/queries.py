@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vestigo.llm import stable_sample, top_items
+from vestigo.llm import leakage, neighbours, packing, sentences, stable_sample, top_items
 from vestigo.registry import Registry
 from vestigo.sources.tables import table
 
@@ -65,3 +65,71 @@ def p3_documents_sample(spark: SparkSession, folder: str) -> DataFrame:
 def p3_documents_by_length(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "documents")
     return stable_sample.stable_sample(rows, "document_id", 0.2, F.length("text") / F.lit(1000.0), "batch_no")
+
+
+_COSINE_SQL = """
+WITH u AS (
+  SELECT DISTINCT document_id, list_transform(vector, lambda x: x::DOUBLE) AS v FROM vectors
+  WHERE document_id IS NOT NULL AND vector IS NOT NULL AND len(vector) = 96
+    AND len(list_filter(vector, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(vector, lambda x: x != 0)) > 0),
+s AS (
+  SELECT a.document_id AS a, b.document_id AS b, max(list_cosine_similarity(a.v, b.v)) AS sim FROM u a, u b
+  WHERE a.document_id != b.document_id GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS position FROM s)
+"""
+
+
+@REGISTRY.query("p1_found", _COSINE_SQL + "SELECT DISTINCT least(a, b) AS document_id_a, greatest(a, b) AS document_id_b FROM r WHERE position <= 10 AND sim >= 0.92")
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.mutual_pairs(neighbours.most_similar(table(spark, folder, "vectors"), min_similarity=0.92))
+
+
+@REGISTRY.query("p1_neighbours")
+def p1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    found = neighbours.most_similar(table(spark, folder, "vectors"), queries=F.col("vector_ordinal") % 100 == 0)
+    return found.withColumn("similarity", F.round(F.col("similarity").cast("double"), 4))
+
+
+def _token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id", packing.regex_token_count(F.col("text")).alias("n_tokens"))
+
+
+_TOKENS_SQL = r"WITH c AS (SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^ \t\n\r]')) AS n FROM documents WHERE text IS NOT NULL) "
+
+
+@REGISTRY.query("p7_found", _TOKENS_SQL + "SELECT doc_id FROM c WHERE n > 1024")
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    sizes = _token_counts(spark, folder)
+    packed = packing.pack(sizes, "doc_id", "n_tokens")
+    return packed.groupBy("doc_id").agg(F.count("*").alias("pieces")).where("pieces > 1").select("doc_id")
+
+
+@REGISTRY.query("p7_containers")
+def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_token_counts(spark, folder), "doc_id", "n_tokens")
+
+
+@REGISTRY.query("p8_found")
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = leakage.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    return found.where(F.col("run_words") >= 12).select("doc_id", "item_id")
+
+
+@REGISTRY.query("p8_report")
+def p8_report(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def _prose(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").where(F.col("doc_type").isin("note", "report", "question"))
+
+
+@REGISTRY.query("p9_found")
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return sentences.split_sentences(_prose(spark, folder))
+
+
+@REGISTRY.query("p9_unit_counts")
+def p9_unit_counts(spark: SparkSession, folder: str) -> DataFrame:
+    units = sentences.split_sentences(_prose(spark, folder))
+    return units.groupBy("doc_id").agg(F.count("*").alias("units"), F.max(F.col("end_char") - F.col("start_char")).alias("longest_unit"))
