@@ -171,18 +171,17 @@ def _pass(docs: DataFrame, tests: list[tuple[object, list[str]]], kinds: tuple[s
 
     found = docs.mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
     frequency = dict(found.collect())  # at most one row per item n-gram
-    # seeds: in every window of an item, its rarest n-gram
+    # seeds: in every window of an item, its rarest n-gram of those that the corpus holds
     seeds: dict[int, list[int]] = {}
     for k, (_, w) in enumerate(tests):
         ids = [grams[g] for g in ngrams(w, min(n, len(w)))]
         span = max(1, min(window, len(w)) - min(n, len(w)) + 1)
         for s in range(max(1, len(ids) - span + 1)):
-            part = ids[s : s + span]
-            rare = min(part, key=lambda g: (frequency.get(g, 0), g))
-            if frequency.get(rare):
-                seeds.setdefault(rare, [])
-                if k not in seeds[rare]:
-                    seeds[rare].append(k)
+            part = [g for g in ids[s : s + span] if frequency.get(g)]
+            if part:
+                owners = seeds.setdefault(min(part, key=lambda g: (frequency[g], g)), [])
+                if k not in owners:
+                    owners.append(k)
     shipped = sc.broadcast((seeds, tests))
 
     def score(d: object, w: list[str], got: set[int]) -> list[tuple]:
