@@ -125,73 +125,80 @@ def build(x: np.ndarray, draw: np.ndarray, k: int) -> Graph:
     return Graph(x, links, upper, ids[:, :k], sims[:, :k])
 
 
-def search(g: Graph, q: np.ndarray, k: int, beam: int = 32, entries: int = 8, spread: int = 8, block: int = 512) -> tuple[np.ndarray, np.ndarray]:
+def search(g: Graph, q: np.ndarray, k: int, beam: int = 32, entries: int = 8, spread: int = 8, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """The k best nodes found for every query, best first: (ids, sims); -1 and -2 where there are fewer."""
     n, m = len(q), len(g.vectors)
     ids_out, sims_out = np.full((n, k), -1, np.int32), np.full((n, k), -2, np.float32)
     if not m:
         return ids_out, sims_out
     beam = max(beam, k)
+    links = np.where(g.links < 0, m, g.links)
     for lo in range(0, n, block):
         part = q[lo : lo + block]
-        ids, sims = _search_block(g, part, beam, min(entries, len(g.upper)), spread)
-        w = min(k, ids.shape[1])
-        ids_out[lo : lo + block, :w], sims_out[lo : lo + block, :w] = ids[:, :w], sims[:, :w]
+        keys = _search_block(g, links, part, beam, min(entries, len(g.upper), beam), spread)[:, :k]
+        held = keys < _NONE
+        w = keys.shape[1]
+        ids_out[lo : lo + block, :w] = np.where(held, (keys & 0xFFFFFFFF) >> 1, -1)
+        sims_out[lo : lo + block, :w] = np.where(held, 1 - (keys >> 32) / _STEPS, -2)
     return ids_out, sims_out
 
 
-def _search_block(g: Graph, q: np.ndarray, beam: int, entries: int, spread: int) -> tuple[np.ndarray, np.ndarray]:
+#: A beam entry is one integer that sorts by similarity: distance steps, then the node, then whether it was widened.
+_STEPS = float(1 << 29)
+_NONE = np.int64(1) << 62
+
+
+def _pack(sims: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    return (np.maximum((1 - sims.astype(np.float64)) * _STEPS, 0).astype(np.int64) << 32) | (nodes.astype(np.int64) << 1)
+
+
+def _search_block(g: Graph, links: np.ndarray, q: np.ndarray, beam: int, entries: int, spread: int) -> np.ndarray:
+    """Sorted beams (queries x beam) of packed entries."""
     n, m = len(q), len(g.vectors)
     top = q @ g.vectors[g.upper].T
     lead = np.argpartition(top, top.shape[1] - entries, axis=1)[:, top.shape[1] - entries :]
-    ids = np.full((n, beam), -1, np.int32)
-    sims = np.full((n, beam), -2, np.float32)
-    fresh = np.zeros((n, beam), bool)
-    ids[:, :entries] = g.upper[lead]
-    sims[:, :entries] = np.take_along_axis(top, lead, 1)
-    fresh[:, :entries] = True
-    seen = np.zeros((n, m + 1), bool)  # the last column stands for "no node"
-    seen[:, m] = True
-    rows = np.arange(n)
-    seen[rows[:, None], ids[:, :entries]] = True
-    order = np.argsort(-sims, axis=1)
-    ids, sims, fresh = (np.take_along_axis(a, order, 1) for a in (ids, sims, fresh))
-    live = rows
+    first = g.upper[lead]
+    beams = np.full((n, beam), _NONE | 1, np.int64)
+    beams[:, :entries] = np.sort(_pack(np.take_along_axis(top, lead, 1), first), axis=1)
+    stride = m + 1  # the last column stands for "no node"
+    seen = np.zeros(n * stride, np.uint16)
+    seen[np.arange(n) * stride + m] = 1
+    seen[(np.arange(n)[:, None] * stride + first).ravel()] = 1
+    live = np.arange(n)
     while len(live):
-        f = fresh[live]
-        # the best nodes of the beam that haven't been widened
-        turn = np.cumsum(f, axis=1)
-        now = f & (turn <= spread)
-        fresh[live] = f & ~now
+        own = beams[live]
+        fresh = (own & 1) == 0
+        # the best entries of the beam that haven't been widened
+        now = fresh & (np.cumsum(fresh, axis=1) <= spread)
+        own |= now
+        beams[live] = own
         r, c = np.nonzero(now)
-        near = g.links[ids[live[r], c]]
-        near = np.where(near < 0, m, near)
-        row = np.repeat(live[r], near.shape[1])
-        node = near.ravel()
-        new = ~seen[row, node]
-        row, node = row[new], node[new]
-        key = np.unique(row.astype(np.int64) * (m + 1) + node)
-        row, node = key // (m + 1), (key % (m + 1)).astype(np.int32)
-        seen[row, node] = True
-        value = np.einsum("ij,ij->i", g.vectors[node], q[row])
-        good = value > sims[row, -1]
-        row, node, value = row[good], node[good], value[good]
-        if not len(row):
-            live = live[fresh[live].any(1)]
-            continue
-        count = np.bincount(row, minlength=n)
-        first = np.concatenate([[0], np.cumsum(count)[:-1]])
-        slot = np.arange(len(row)) - first[row]
-        wide = int(count.max())
-        hit = np.flatnonzero(count)
-        place = np.empty(n, np.int64)
-        place[hit] = np.arange(len(hit))
-        more_ids, more_sims = np.full((len(hit), wide), -1, np.int32), np.full((len(hit), wide), -2, np.float32)
-        more_ids[place[row], slot], more_sims[place[row], slot] = node, value
-        all_ids = np.concatenate([ids[hit], more_ids], axis=1)
-        all_sims = np.concatenate([sims[hit], more_sims], axis=1)
-        all_new = np.concatenate([fresh[hit], more_sims > -2], axis=1)
-        order = np.argsort(-all_sims, axis=1)[:, :beam]
-        ids[hit], sims[hit], fresh[hit] = (np.take_along_axis(a, order, 1) for a in (all_ids, all_sims, all_new))
-        live = live[fresh[live].any(1)]
-    return ids, sims
+        near = links[(own[r, c] & 0xFFFFFFFF) >> 1]
+        at = (live[r, None] * stride + near).ravel()
+        at = at[seen[at] == 0]
+        # of a node reached twice in this round one ticket stays
+        for lo in range(0, len(at), 60_000):
+            part = at[lo : lo + 60_000]
+            if lo:
+                at[lo : lo + 60_000] = part = np.where(seen[part] == 0, part, m)
+            ticket = np.arange(1, len(part) + 1, dtype=np.uint16)
+            seen[part] = ticket
+            at[lo : lo + 60_000] = np.where((seen[part] == ticket) & (part != m), part, -1)
+        at = at[at >= 0]
+        row, node = at // stride, at % stride
+        key = _pack(np.einsum("ij,ij->i", g.vectors[node], q[row]), node)
+        good = key < beams[row, -1]
+        row, key = row[good], key[good]
+        if len(row):
+            # rows are in order, as the entries of the beam were
+            count = np.bincount(row, minlength=n)
+            hit = np.flatnonzero(count)
+            start = np.cumsum(count) - count
+            both = np.full((len(hit), beam + int(count.max())), _NONE | 1, np.int64)
+            both[:, :beam] = beams[hit]
+            place = np.cumsum(count > 0) - 1
+            both[place[row], beam + np.arange(len(row)) - start[row]] = key
+            both.sort(axis=1)
+            beams[hit] = both[:, :beam]
+        live = live[((beams[live] & 1) == 0).any(1)]
+    return beams
