@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from vestigo.plans import data_problems
+from vestigo.plans import data_problems, retrieval_queries
 from vestigo.registry import Registry
 
 
 def core_registry() -> Registry:
     found = Registry()
-    for module in (data_problems,):
+    for module in (data_problems, retrieval_queries):
         found.update(module.REGISTRY)
     return found
