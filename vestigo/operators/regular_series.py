@@ -126,7 +126,8 @@ def metric_readings(events: DataFrame, event_times: DataFrame, json: str = "type
 
     ``events``: event_id and the JSON text. ``event_times``: event_id and
     event_time; its time wins over ``header.time`` in the JSON; of several
-    times of an event the earliest counts. Texts that aren't a JSON object as
+    times of an event the earliest counts. Equal readings of an event that was
+    delivered again count once. Texts that aren't a JSON object as
     a whole, objects without a text source_id and metric, readings without any
     time and without a valid value are left out.
     """
@@ -153,4 +154,5 @@ def metric_readings(events: DataFrame, event_times: DataFrame, json: str = "type
     parsed = events.select("event_id", json).mapInArrow(parse, "event_id string, source_id string, metric string, own_ms long, value long")
     times = event_times.where("event_id is not null and event_time is not null").groupBy("event_id").agg(F.min("event_time").alias("_at"))
     ms: Column = F.coalesce(F.floor(F.unix_micros(F.col("_at").cast("timestamp")) / 1000).cast("long"), F.col("own_ms"))
-    return parsed.join(times, "event_id", "left").select("event_id", "source_id", "metric", ms.alias("time_ms"), "value").where("time_ms is not null")
+    timed = parsed.join(times, "event_id", "left").select("event_id", "source_id", "metric", ms.alias("time_ms"), "value").where("time_ms is not null")
+    return timed.distinct()  # the join has already brought an event's rows together

@@ -30,7 +30,7 @@ fields AS (
   FROM parsed WHERE json_type(j, '$.header.source_id') = 'VARCHAR' AND json_type(j, '$.metric') = 'VARCHAR'),
 times AS (SELECT event_id, min(event_time) AS first_at FROM occurrences WHERE event_time IS NOT NULL GROUP BY 1),
 readings AS (
-  SELECT source_id, metric, try_cast(vs AS BIGINT) AS value,
+  SELECT DISTINCT event_id, source_id, metric, try_cast(vs AS BIGINT) AS value,
     coalesce(epoch_us(first_at) // 1000,
       CASE WHEN tt IN ('UBIGINT','BIGINT') AND ts::DOUBLE >= 0 THEN
         CASE WHEN ts::DOUBLE >= 1e17 THEN ts::HUGEINT // 1000000 WHEN ts::DOUBLE >= 1e14 THEN ts::HUGEINT // 1000
