@@ -125,7 +125,7 @@ def build(x: np.ndarray, draw: np.ndarray, k: int) -> Graph:
     return Graph(x, links, upper, ids[:, :k], sims[:, :k])
 
 
-def search(g: Graph, q: np.ndarray, k: int, beam: int = 32, entries: int = 8, spread: int = 8, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
+def search(g: Graph, q: np.ndarray, k: int, beam: int = 48, entries: int = 8, spread: int = 8, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """The k best nodes found for every query, best first: (ids, sims); -1 and -2 where there are fewer."""
     n, m = len(q), len(g.vectors)
     ids_out, sims_out = np.full((n, k), -1, np.int32), np.full((n, k), -2, np.float32)

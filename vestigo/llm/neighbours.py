@@ -20,7 +20,7 @@ from vestigo.llm import hnsw
 
 #: Vectors that the centroids are trained on; every vector is indexed.
 TRAINING_VECTORS = 16_000
-KMEANS_ROUNDS = 8
+KMEANS_ROUNDS = 12
 
 
 def usable(vector: Column, dimensions: int) -> Column:
@@ -29,13 +29,19 @@ def usable(vector: Column, dimensions: int) -> Column:
     return F.coalesce((F.size(vector) == dimensions) & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def layout(n: int) -> tuple[int, int, int]:
-    """(shards, shards asked per query, beam) for n vectors: shards grow with the root of n, so do their number and the beam."""
+def layout(n: int, min_similarity: float = -1.0) -> tuple[int, int, int]:
+    """(shards, shards asked per query, beam) for n vectors: shards grow with the root of n, and with them their number and the beam.
+
+    Vectors as near as a high ``min_similarity`` asks for nearly always lie in
+    the first few territories and stand out in a graph, so fewer shards and a
+    narrower beam find them; without such a bound more are asked.
+    """
     size = max(300.0, 13.0 * math.sqrt(n))
     shards = max(1, round(n / size))
-    probes = min(shards, max(5, math.ceil(shards**0.58) - 2))
-    beam = int(min(128, max(32, 32 * math.sqrt(size / 4000))))
-    return shards, probes, beam
+    near = min_similarity >= 0.85
+    probes = min(shards, max(5, math.ceil(shards**0.58) - 2) if near else max(6, math.ceil(shards**0.58) + 2))
+    beam = (32 if near else 72) * math.sqrt(size / 4000)
+    return shards, probes, int(min(128, max(32, beam)) if near else min(256, max(64, beam)))
 
 
 def train_centroids(x: np.ndarray, shards: int, rounds: int = KMEANS_ROUNDS) -> np.ndarray:
@@ -80,7 +86,7 @@ def nearest_keys(keyed: DataFrame, dimensions: int, n: int, k: int, min_similari
     ``keyed`` has k1, k2 (two hashes of the vector), q (is it a query) and v
     (usable vectors). Equal vectors are one node and one query.
     """
-    shards, probes, beam = layout(n)
+    shards, probes, beam = layout(n, min_similarity)
     share = min(1.0, TRAINING_VECTORS / max(1, n))
     picked = keyed.where(F.pmod(F.col("k1"), F.lit(1_000_003)) < int(share * 1_000_003) + 1).select("k1", "v").toArrow().sort_by("k1")
     if not picked.num_rows:
