@@ -35,7 +35,7 @@ class Graph:
 def nearest_in(x: np.ndarray, k: int, block: int = 512) -> tuple[np.ndarray, np.ndarray]:
     """The k nearest other rows of every row, best first; -1 where there are fewer."""
     n = len(x)
-    k = min(k, n - 1)
+    k = max(0, min(k, n - 1))
     ids, sims = np.full((n, k), -1, np.int32), np.full((n, k), -2, np.float32)
     if k <= 0:
         return ids, sims

@@ -340,8 +340,9 @@ def _best_spans(text: str, lead: int, start: int, end: int, places: list[tuple[i
         top, arg = far + local, far_i
         for i in range(next_far, j + 1):
             s = best[i] + local
-            if local and local < FIXED and _n_words(text, starts[i], stop, 5) < 4:
-                s -= 3.0
+            if local and local < FIXED:
+                n, dots = _n_words(text, starts[i], stop, 5), text[stop - 1] == "…" or text[stop - 2 : stop] == ".."
+                s -= 4.0 if n < 2 else 3.0 if n < 4 and not dots else 0.0
             if final >= 0 and starts[i] == final and not bracket:
                 kind = _opens(text, starts[j + 1], end) if j < len(places) and starts[j + 1] < end else "upper"
                 s -= 12.0 if kind in ("caseless", "plain", "name") else 3.0
