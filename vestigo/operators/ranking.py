@@ -7,14 +7,41 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vestigo.session import cut_lineage
+
 FUSION_K = 60
 
 
-def with_rank(scored: DataFrame, identifier: str, score: str = "score", partition: list[str] | None = None, descending: bool = True) -> DataFrame:
-    """Rank 1..n by score, then identifier, on scores rounded to 6 places."""
+#: Estimated bytes of a scored list up to which one task ranks it.
+ONE_TASK_BYTES = 256 << 20
+
+
+def with_rank(scored: DataFrame, identifier: str, score: str = "score", partition: list[str] | None = None, descending: bool = True, one_task_bytes: int = ONE_TASK_BYTES) -> DataFrame:
+    """Rank 1..n by score, then identifier, on scores rounded to 6 places.
+
+    A whole list that the optimizer estimates to be large is range-partitioned
+    by score: each partition ranks its own rows and adds the sizes of the
+    partitions before it.
+    """
     s = scored.withColumn(score, F.round(score, 6))
-    w = Window.partitionBy(*(partition or [F.lit(0)])).orderBy(F.desc(score) if descending else F.asc(score), identifier)
-    return s.withColumn("rank", F.row_number().over(w))
+    order = [F.desc(score) if descending else F.asc(score), F.asc(identifier)]
+    if partition:
+        return s.withColumn("rank", F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
+    if int(str(s._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= one_task_bytes:
+        return s.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+    return global_rank(s, order)
+
+
+def global_rank(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """``rank`` 1..n over all rows without gathering them in one task; one number per partition comes to the driver."""
+    ranged = cut_lineage(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    sizes = {r[0]: r[1] for r in ranged.groupBy("_part").count().collect()}
+    starts, at = {}, 0
+    for p in sorted(sizes):
+        starts[p], at = at, at + sizes[p]
+    book = rows.sparkSession.createDataFrame(sorted(starts.items()), "_part int, _start long")
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return ranged.withColumn("_own", own).join(F.broadcast(book), "_part").withColumn("rank", F.col("_own") + F.col("_start")).drop("_part", "_own", "_start")
 
 
 def reciprocal_fusion(lists: list[DataFrame], identifier: str, k: int = FUSION_K) -> DataFrame:

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vestigo.operators.ranking import global_rank
+
 
 def priority(seed: str, *parts: Column) -> Column:
     """SHA-256 of the seed and the parts, NUL-separated; small comes first."""
@@ -145,24 +147,9 @@ def greedy_ranges(rows: DataFrame, order: str, tokens: str, max_tokens: int, max
 
 
 def dense_ordinals(rows: DataFrame, key: str) -> DataFrame:
-    """Each distinct key with its place 0..n-1 in key order.
-
-    Range-partitioned: each partition numbers its own keys and adds the sizes
-    of the partitions before it (one number per partition on the driver).
-    """
-    from vestigo.session import cut_lineage
-
+    """Each distinct key with its place 0..n-1 in key order, by ``ranking.global_rank``."""
     keys = rows.where(F.col(key).isNotNull()).select(key).distinct()
-    ranged = cut_lineage(keys.repartitionByRange(key).withColumn("_part", F.spark_partition_id()))
-    sizes = {r[0]: r[1] for r in ranged.groupBy("_part").count().collect()}
-    starts, at = {}, 0
-    for p in sorted(sizes):
-        starts[p], at = at, at + sizes[p]
-    if not starts:
-        return keys.withColumn("ordinal", F.lit(0).cast("long"))
-    offset = F.create_map(*[F.lit(x) for p, s in starts.items() for x in (p, s)])[F.col("_part")]
-    own = F.row_number().over(Window.partitionBy("_part").orderBy(key))
-    return ranged.select(key, (own - 1 + offset).cast("long").alias("ordinal"))
+    return global_rank(keys, [F.asc(key)]).select(key, (F.col("rank") - 1).cast("long").alias("ordinal"))
 
 
 def round_robin(capacity: dict[tuple[str, int], int], total: int) -> dict[tuple[str, int], int]:

@@ -52,7 +52,7 @@ r AS (SELECT user_id, hour, event, CASE WHEN one THEN low END AS state, previous
 @REGISTRY.query("state_transitions", TRANSITIONS + "SELECT * FROM r")
 def state_transitions(spark: SparkSession, folder: str) -> DataFrame:
     e = _events(spark, folder).withColumn("hour", F.floor(F.col("us") / 3_600_000_000).cast("long"))
-    return derive.state_transitions(e, ["user_id"], "hour", "event_type", "event_id")
+    return derive.state_transitions(e, ["user_id"], "hour", "event_type", "event_id", shard=24)
 
 
 @REGISTRY.query("transition_outcomes", TRANSITIONS + "SELECT outcome, count(*) AS n FROM r GROUP BY 1")
