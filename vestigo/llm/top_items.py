@@ -20,16 +20,16 @@ RANGES, SALTS = 16, 8
 MAX_HOT = 10_000
 
 
-def best_per_item(rows: DataFrame, group: str, item: str, score: str, low_is_better: str) -> DataFrame:
-    """One row per (group, item) with its best value as ``_cost`` (small is good).
-
-    ``low_is_better`` is an SQL predicate. Rows with a null group, item or
-    score are left out. Grouping by the pair pre-aggregates in each split and
-    can't be skewed by a large group.
-    """
+def costs(rows: DataFrame, group: str, item: str, score: str, low_is_better: str) -> DataFrame:
+    """(_g, _i, _c): group, item and a cost of which small is good; ``low_is_better`` is an SQL predicate. Rows with a null in any of the three are left out."""
     cost = F.when(F.expr(low_is_better), F.col(score)).otherwise(-F.col(score))
     slim = rows.select(F.col(group).alias("_g"), F.col(item).alias("_i"), cost.alias("_c"))
-    return slim.where("_g is not null and _i is not null and _c is not null").groupBy("_g", "_i").agg(F.min("_c").alias("_c"))
+    return slim.where("_g is not null and _i is not null and _c is not null")
+
+
+def best_per_item(cost_rows: DataFrame) -> DataFrame:
+    """One row per (_g, _i) with its best cost. Grouping by the pair pre-aggregates in each split and can't be skewed by a large group."""
+    return cost_rows.groupBy("_g", "_i").agg(F.min("_c").alias("_c"))
 
 
 def top_items(
@@ -41,36 +41,36 @@ def top_items(
     low_is_better: str = "true",
     hot_items: int = HOT_ITEMS,
 ) -> DataFrame:
-    """(group, item, score, position): the ``n`` best items of each group.
+    """(group, item, cost, position): the ``n`` best items of each group.
 
     An item listed more than once for a group counts once, with its best
-    score. Among equal scores the smaller item (byte order) comes first.
-    Groups with fewer than ``n`` items come out whole. Null groups, items and
-    scores don't take part; an empty input gives an empty result. Other
-    columns of ``rows``, whatever their names, aren't read.
+    score; ``cost`` is that score, negated where high is better. Among equal
+    scores the smaller item (byte order) comes first. Groups with fewer than
+    ``n`` items come out whole. Null groups, items and scores don't take part;
+    an empty input gives an empty result. Other columns of ``rows``, whatever
+    their names, aren't read.
     """
-    best = best_per_item(rows, group, item, score, low_is_better)
-    sizes = best.groupBy("_g").agg(F.count("*").alias("_n"))
+    slim = costs(rows, group, item, score, low_is_better)
     total = rows.count()
     limit = max(hot_items, total // MAX_HOT)
-    by_cost = [F.col("_c"), F.col("_i")]
 
     def ranked(df: DataFrame, *keys: str) -> DataFrame:
-        return df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*by_cost))).where(f"_r <= {int(n)}")
+        w = Window.partitionBy(*keys).orderBy("_c", "_i")
+        return df.withColumn("_r", F.row_number().over(w)).where(f"_r <= {int(n)}")
 
     if total <= limit:  # no group can be hot
-        out = ranked(best, "_g")
+        out = ranked(best_per_item(slim), "_g")
     else:
-        # at most total / limit <= MAX_HOT groups, each with RANGES - 1 cut points
-        hot = best.join(F.broadcast(sizes.where(F.col("_n") > limit).select("_g")), "_g", "left_semi")
-        cuts = hot.groupBy("_g").agg(F.percentile_approx("_c", [k / RANGES for k in range(1, RANGES)], 1000).alias("_cuts"))
-        tagged = best.join(F.broadcast(cuts), "_g", "left")
-        light = ranked(tagged.where("_cuts is null").select("_g", "_i", "_c"), "_g")
-        heavy = tagged.where("_cuts is not null").select(
+        # exact counts; at most total / limit <= MAX_HOT groups are hot, each with RANGES - 1 cut points
+        hot = slim.groupBy("_g").agg(F.count("*").alias("_n")).where(F.col("_n") > limit).select("_g")
+        cuts = slim.join(F.broadcast(hot), "_g", "left_semi").groupBy("_g").agg(F.percentile_approx("_c", [k / RANGES for k in range(1, RANGES)], 1000).alias("_cuts"))
+        light = ranked(best_per_item(slim.join(F.broadcast(hot), "_g", "left_anti")), "_g")
+        heavy = best_per_item(slim.join(F.broadcast(hot), "_g", "left_semi")).join(F.broadcast(cuts), "_g")
+        heavy = heavy.select(
             "_g", "_i", "_c",
             F.size(F.filter("_cuts", lambda x: x < F.col("_c"))).alias("_range"),
             F.pmod(F.xxhash64("_i"), F.lit(SALTS)).alias("_salt"),
         )
-        local = ranked(heavy, "_g", "_range", "_salt").drop("_r")
-        out = light.unionByName(ranked(local.select("_g", "_i", "_c"), "_g"))
+        local = ranked(heavy, "_g", "_range", "_salt").select("_g", "_i", "_c")
+        out = light.unionByName(ranked(local, "_g"))
     return out.select(F.col("_g").alias(group), F.col("_i").alias(item), F.col("_c").alias("cost"), F.col("_r").alias("position"))
