@@ -34,16 +34,17 @@ def key_dictionary(keys: DataFrame, limit: int = MAX_DICTIONARY) -> list[str] |
     return None if len(got) > limit else sorted(got)
 
 
-def dense_key_counts(rows: DataFrame, key: str, measures: list[str] | None = None) -> DataFrame:
+def dense_key_counts(rows: DataFrame, key: str, measures: list[str] | None = None, dictionary: list[str] | None = None) -> DataFrame:
     """(key, n_rows, one sum per integer measure) with one ``bincount`` per input split.
 
     Rows with a null key form no group. Null measures add 0. Each split emits
     one row per key it holds, so the final sum moves splits x keys numbers at
     most, whatever the skew. Columns of other names are left out of the scan.
+    ``dictionary``: the sorted distinct keys, where they are known already.
     """
     measures = measures or []
     slim = rows.select(F.col(key).alias("k"), *[F.col(m).cast("long").alias(f"m{i}") for i, m in enumerate(measures)])
-    words = key_dictionary(slim.select("k"))
+    words = dictionary or key_dictionary(slim.select("k"))
     sums = [F.sum(f"m{i}").alias(m) for i, m in enumerate(measures)]
     if words is None:
         return slim.where("k is not null").groupBy(F.col("k").alias(key)).agg(F.count("*").alias("n_rows"), *[F.coalesce(s, F.lit(0)).alias(m) for s, m in zip(sums, measures)])
@@ -73,7 +74,7 @@ def dense_key_counts(rows: DataFrame, key: str, measures: list[str] | None = Non
     return total.join(F.broadcast(book), "code").select(key, "n_rows", *measures)
 
 
-def ledger_cells(left: DataFrame, right: DataFrame, key: str, member: str, blocks: int | None = None) -> DataFrame:
+def ledger_cells(left: DataFrame, right: DataFrame, key: str, member: str, blocks: int | None = None, dictionary: list[str] | None = None) -> DataFrame:
     """Every distinct (key, member) of two ledgers with its row counts (n_left, n_right).
 
     Rows with a null key or a null member are ignored. Step 1, in each input
@@ -85,7 +86,7 @@ def ledger_cells(left: DataFrame, right: DataFrame, key: str, member: str, block
     sides = [d.select(F.col(key).alias("k"), F.col(member).cast("string").alias("m"), F.lit(i).alias("side")) for i, d in enumerate((left, right))]
     rows = sides[0].unionByName(sides[1]).where("k is not null and m is not null")
     spark = rows.sparkSession
-    words = key_dictionary(rows.select("k"))
+    words = dictionary or key_dictionary(rows.select("k"))
     blocks = blocks or shuffle_width(spark)
     coded = words is not None and len(words) > 0
 
@@ -143,11 +144,12 @@ def one_sided(left: DataFrame, right: DataFrame, key: str, member: str) -> DataF
 
 def ledger_comparison(left: DataFrame, right: DataFrame, key: str, member: str) -> DataFrame:
     """Per key: rows and distinct members of each ledger, members of both, of the left and of the right only."""
-    cells = ledger_cells(left, right, key, member)
+    words = key_dictionary(left.select(key).unionByName(right.select(key)))
+    cells = ledger_cells(left, right, key, member, dictionary=words)
     flags = cells.select(
         key,
         F.col("n_left").alias("left_rows"),
         F.col("n_right").alias("right_rows"),
         *[F.expr(e).cast("long").alias(n) for n, e in (("both_members", "n_left > 0 and n_right > 0"), ("left_only_members", "n_right = 0"), ("right_only_members", "n_left = 0"))],
     )
-    return dense_key_counts(flags, key, ["left_rows", "right_rows", "both_members", "left_only_members", "right_only_members"]).withColumnRenamed("n_rows", "members")
+    return dense_key_counts(flags, key, ["left_rows", "right_rows", "both_members", "left_only_members", "right_only_members"], words).withColumnRenamed("n_rows", "members")
