@@ -54,6 +54,7 @@ FIXED = 4.0
 
 _BLANK_LINE = re.compile(r"\n[^\S\n]*(?=\n)(?:\n[^\S\n]*)*")
 _BULLET = re.compile(r"(?:(?<=\n)|\A)[^\S\n]*(?:[-*•·▪◦‣]|\(?(\d{1,3})[.)])(?=[^\S\n])")
+_ITEM = re.compile(r"(?:[-*•·▪◦‣]|\(?\d{1,3}[.)])(?=[^\S\n])")
 _PLACE = re.compile(rf"[{re.escape(MARKS)}]+(?:\s?»|[{re.escape(CLOSERS)}])*")
 _THAI_BLANK = re.compile(r"(?<=[฀-๿])\s+(?=[฀-๿])")
 _PAIR_CHARS = re.compile(r"[“”„‚‘’«»‹›「」『』()\[\]（）【】《》]")
@@ -118,24 +119,25 @@ def _opens(text: str, at: int, end: int) -> str:
     return "plain"
 
 
-def _close_score(text: str, start: int, mark: re.Match, follow: int, end: int) -> float:
-    """Score of an end at ``mark`` from its closing and opening words alone."""
-    marks = mark[0].rstrip(CLOSERS + " \t\n\r\xa0 ")
-    closers = mark[0][len(marks) :].strip()
-    gap = follow > mark.end()
+def _close_score(text: str, start: int, at: int, cut: int, stop: int, follow: int, end: int) -> float:
+    """Score of an end from its closing and opening words alone.
+
+    End marks are text[at:cut], closing quotes and brackets text[cut:stop];
+    the next words begin at ``follow``, and words before ``start`` don't count.
+    """
+    marks, closers = text[at:cut], text[cut:stop].strip()
+    gap = follow > stop
     opens = _opens(text, follow, end)
     if opens == "goes_on":
         return -8.0
-    before = text[mark.start() - 1] if mark.start() > start else " "
+    before = text[at - 1] if at > start else " "
     full = any(c in FULL_MARKS for c in marks)
     dots = not full and ("…" in marks or "‥" in marks or marks.count(".") > 1) and "!" not in marks and "?" not in marks
     if not gap:
         c = text[follow]
-        if closers and opens == "caseless" and not full and _cased(before) is False and "가" <= c <= "힣":
-            return -8.0
-        if closers and "぀" <= c <= "ゟ" or closers and "가" <= c <= "힣":
-            return -8.0
-        path = any(x in (text[max(start, mark.start() - 60) : mark.start()].split()[-1:] or [""])[0] for x in "/\\@")
+        if closers and ("぀" <= c <= "ゟ" or "가" <= c <= "힣"):
+            return -8.0  # a particle that quotes what was said
+        path = any(x in (text[max(start, at - 60) : at].split()[-1:] or [""])[0] for x in "/\\@")
         if dots:
             return 2.5 if opens in ("upper", "quote", "name") or opens == "caseless" and (_cased(before) or before.isdigit()) else -8.0
         if full or marks[0] in "।॥؟۔":
@@ -143,8 +145,8 @@ def _close_score(text: str, start: int, mark: re.Match, follow: int, end: int) -
         if opens == "quote" and text[follow] not in "([\"'":
             return 5.0
         if opens == "upper":
-            word = text[max(start, mark.start() - 60) : mark.start()].split()[-1:] or [""]
-            if path and before != "/" and any(x in word[0] for x in "\\@") or before == " ":
+            word = text[max(start, at - 60) : at].split()[-1:] or [""]
+            if any(x in word[0] for x in "\\@") and before != "/" or before == " ":
                 return -8.0
             nxt = text[follow + 1 : follow + 2]
             if not (nxt.islower() or nxt.isspace()) or not (closers or before.islower() or before.isdigit() or before in ")%" or not _cased(before) and before.isalpha()):
@@ -164,11 +166,11 @@ def _close_score(text: str, start: int, mark: re.Match, follow: int, end: int) -
         return -4.0
     if marks != "." or closers:
         return score
-    words = text[max(start, mark.start() - 60) : mark.start()].split()
-    if not words or mark.start() - len(words[-1]) < start:
+    words = text[max(start, at - 60) : at].split()
+    if not words or at - len(words[-1]) < start:
         return score
     if before.isspace():
-        return -8.0 if text[follow].isdigit() and not gap else score
+        return score
     raw, last = words[-1], _bare(words[-1])
     prior = words[-2] if len(words) > 1 else ""
     if "(" in raw:
@@ -235,9 +237,10 @@ def _segments(text: str) -> list[tuple[int, int]]:
 
 
 def _n_words(text: str, a: int, b: int, most: int) -> int:
+    """Words of a span, counted up to ``most``; a long run without blanks counts as several."""
     n = 0
-    for _ in _WORD.finditer(text, a, b):
-        n += 1
+    for m in _WORD.finditer(text, a, b):
+        n += max(1, (m.end() - m.start()) // 8)
         if n >= most:
             break
     return n
@@ -250,8 +253,8 @@ def _units(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
         end -= 1
     if start == end:
         return
-    bullet = _BULLET.match(text, start) or re.compile(r"(?:[-*•·▪◦‣]|\(?\d{1,3}[.)])(?=[^\S\n])").match(text, start, end)
-    first = bullet.end() if bullet and (start == 0 or text[:start].rstrip(" \t\xa0\r")[-1:] in ("\n", "")) else start
+    bullet = _ITEM.match(text, start, end)
+    first = bullet.end() if bullet and not text[text.rfind("\n", 0, start) + 1 : start].strip() else start
     pairs, opener = _pairs(text, start, end)
     inner = sorted(pairs)
     places: list[tuple[int, int, float, int, bool]] = []  # end, next start, score, opener of a final pair, by its closing mark
@@ -296,8 +299,7 @@ def _units(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
         active = [x for x in active if x[1] >= stop]
         if active:
             continue  # within a quotation or bracket that is closed later
-        part = re.compile(re.escape(text[m.start() : stop])).match(text, m.start())
-        score = _close_score(text, floor, part, follow, end)
+        score = _close_score(text, floor, at, cut, stop, follow, end)
         if score >= FIXED and final < 0:
             floor = follow
         if score > 0 or final >= 0 and score > -8:
