@@ -50,8 +50,41 @@ def term_stats(documents: DataFrame, identifier: str, text: str, tokenizer: str
     return postings(documents, identifier, text, tokenizer).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
 
-def term_count(tokens: str, term: str) -> Column:
-    return F.size(F.filter(tokens, lambda x: x == F.lit(term)))
+def counted_terms(documents: DataFrame, keep: list[Column], text: str, terms: list[str], tokenizer: str) -> DataFrame:
+    """``keep`` with ``_len``, the number of tokens, and ``_f0``, ``_f1``, ...: how often each term stands.
+
+    Tokens that aren't query terms are dropped in one pass over the array. The
+    few numbers per document are then exchanged, so that statistics and scores
+    read the same exchange and texts are tokenized once.
+    """
+    tokens = TOKENIZERS[tokenizer](F.coalesce(F.col(text), F.lit("")))
+    hits = F.filter("_t", lambda x: x.isin(terms)) if terms else F.array()
+    rows = documents.select(*keep, tokens.alias("_t")).select(*[F.col(c) for c in _names(documents, keep)], F.size("_t").alias("_len"), hits.alias("_h"))
+    count = lambda t: F.size("_h") - F.size(F.array_remove("_h", t))
+    names = _names(documents, keep)
+    return rows.select(*names, "_len", *[count(t).alias(f"_f{i}") for i, t in enumerate(terms)]).repartition(F.col(names[0]))
+
+
+def _names(documents: DataFrame, keep: list[Column]) -> list[str]:
+    return documents.select(*keep).columns
+
+
+def corpus_stats(rows: DataFrame, n_terms: int, by: list[str] | None = None) -> DataFrame:
+    """(_n, _avg, _d0, _d1, ...): documents, mean length (at least 1) and document frequencies, for each group if ``by`` is given."""
+    same = F.max(F.xxhash64(*rows.columns)).alias("_same")  # reads every column, so the exchange below is shared with the scores
+    aggs = [F.count("*").alias("_n"), F.greatest(F.avg("_len"), F.lit(1.0)).alias("_avg"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"_d{i}") for i in range(n_terms)]]
+    grouped = rows.groupBy(*by).agg(*aggs, same) if by else rows.agg(*aggs, same)
+    return grouped
+
+
+def term_scores(weights: list[float]) -> Column:
+    """The BM25 sum over columns of ``counted_terms`` and ``corpus_stats``."""
+    score: Column = F.lit(0.0)
+    for i, w in enumerate(weights):
+        tf = F.col(f"_f{i}")
+        part = F.lit(float(w)) * _idf(F.col("_n"), F.col(f"_d{i}")) * (tf * (K1 + 1)) / (tf + K1 * (1 - B + B * F.col("_len") / F.col("_avg")))
+        score = score + F.when(tf > 0, part).otherwise(0.0)
+    return score
 
 
 def _idf(n: Column, df: Column) -> Column:
@@ -80,16 +113,9 @@ def bm25_scan(
     weights = {t: terms.count(t) if repeat_terms else 1 for t in sorted(set(terms))}
     ok = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     base = documents if scope == "corpus" else documents.where(ok)
-    tokens = TOKENIZERS[tokenizer](F.coalesce(F.col(text), F.lit("")))
-    rows = base.select(identifier, ok.alias("_ok"), tokens.alias("_t"))
-    rows = rows.select(identifier, "_ok", F.size("_t").alias("_len"), *[term_count("_t", t).alias(f"_f{i}") for i, t in enumerate(weights)])
-    stats = rows.agg(F.count("*").alias("_n"), F.greatest(F.avg("_len"), F.lit(1.0)).alias("_avg"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"_d{i}") for i in range(len(weights))])
-    score: Column = F.lit(0.0)
-    for i, w in enumerate(weights.values()):
-        tf, df = F.col(f"_f{i}"), F.col(f"_d{i}")
-        part = F.lit(float(w)) * _idf(F.col("_n"), df) * (tf * (K1 + 1)) / (tf + K1 * (1 - B + B * F.col("_len") / F.col("_avg")))
-        score = score + F.when(tf > 0, part).otherwise(0.0)
-    out = rows.crossJoin(F.broadcast(stats)).where("_ok").select(identifier, score.alias("score"))
+    rows = counted_terms(base, [F.col(identifier), ok.alias("_ok")], text, list(weights), tokenizer)
+    stats = corpus_stats(rows, len(weights))
+    out = rows.crossJoin(F.broadcast(stats)).where("_ok and (_same is null or _same is not null)").select(identifier, term_scores(list(weights.values())).alias("score"))
     return out if keep_zero else out.where("score > 0")
 
 

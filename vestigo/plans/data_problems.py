@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vestigo.operators import nested_tables, regular_series, skewed_counts
 from vestigo.registry import Registry
-from vestigo.sources.tables import relation_key, table
+from vestigo.sources.tables import relation_key, spread, table
 
 REGISTRY = Registry()
 METRIC_RELATION = "ocsf_ext_livefire_system_metric"
@@ -118,12 +118,12 @@ part AS (SELECT DISTINCT event_id, entity_id, coalesce(role, regexp_extract(rege
 
 @REGISTRY.query("p6_found", _TREE_SQL + "SELECT event_id, entity_id, role FROM part ANTI JOIN participants USING (event_id, entity_id, role)")
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    return nested_tables.missing_participants(table(spark, folder, "typed_events"), table(spark, folder, "participants"))
+    return nested_tables.missing_participants(spread(table(spark, folder, "typed_events")), table(spark, folder, "participants"))
 
 
 @REGISTRY.query("p6_table_rows")
 def p6_table_rows(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "typed_events")
+    events = spread(table(spark, folder, "typed_events"))
     rows = nested_tables.shred(events, nested_tables.schema_graph(events))
     return rows.groupBy("table_name").agg(
         F.count("*").alias("n_rows"), F.sum(F.size("cells").cast("long")).alias("n_cells"), F.count_if(F.col("parent_row_no").isNotNull()).alias("n_child_rows")
@@ -132,7 +132,7 @@ def p6_table_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @REGISTRY.query("p6_event_table")
 def p6_event_table(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "typed_events")
+    events = spread(table(spark, folder, "typed_events"))
     graph = nested_tables.schema_graph(events)
     rows = nested_tables.shred(events, graph)
     return nested_tables.flat_table(rows, graph, nested_tables.ROOT, ["semantic_class", "metric", "value_milli", "ocsf/status", "ocsf/time", "header/source_id"])

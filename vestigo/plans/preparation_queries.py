@@ -11,13 +11,13 @@ from vestigo.operators import sampling
 from vestigo.plans import prepare
 from vestigo.registry import Registry
 from vestigo.sources.snapshots import with_position
-from vestigo.sources.tables import relation_key, table
+from vestigo.sources.tables import relation_key, spread, table
 
 REGISTRY = Registry()
 
 
 def _projected(spark: SparkSession, folder: str, **how: bool) -> DataFrame:
-    return prepare.project_events(table(spark, folder, "typed_events"), **how)
+    return prepare.project_events(spread(table(spark, folder, "typed_events")), **how)
 
 
 @REGISTRY.query("event_projection")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vestigo.operators import dense, eligibility, lexical, ranking
 from vestigo.plans import search
 from vestigo.registry import Registry
-from vestigo.sources.tables import table
+from vestigo.sources.tables import spread, table
 
 REGISTRY = Registry()
 QUERY = "denied network activity after the renewed lease on tundra-core"
@@ -47,7 +47,7 @@ TOP20 = "SELECT doc_id, round(score, 6) AS score, row_number() OVER (ORDER BY ro
 
 
 def docs(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    return spread(table(spark, folder, "documents").select("doc_id", "document_id", "text", "lang", "source"))
 
 
 @REGISTRY.query("bm25_topk", bm25_sql(QUERY) + TOP20)

@@ -80,16 +80,9 @@ def catalogue_search(datasets: dict[str, DataFrame], query: str, top_n: int = 10
 def catalogue_search_grouped(documents: DataFrame, dataset: Column, query: str, identifier: str, text: str = "text", per_dataset: int = 10, top_n: int = 20) -> DataFrame:
     """As ``catalogue_search`` for any number of datasets in one frame: statistics are grouped by dataset, in one scan."""
     terms = sorted(set(lexical.tokenize_query(query)))
-    rows = documents.select(F.col(identifier), dataset.alias("dataset"), lexical.TOKENIZERS["camel"](F.coalesce(F.col(text), F.lit(""))).alias("_t"))
-    rows = rows.select(identifier, "dataset", F.size("_t").alias("_len"), *[lexical.term_count("_t", t).alias(f"_f{i}") for i, t in enumerate(terms)])
-    stats = rows.groupBy("dataset").agg(F.count("*").alias("_n"), F.greatest(F.avg("_len"), F.lit(1.0)).alias("_avg"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"_d{i}") for i in range(len(terms))])
-    score: Column = F.lit(0.0)
-    for i in range(len(terms)):
-        tf = F.col(f"_f{i}")
-        part = lexical._idf(F.col("_n"), F.col(f"_d{i}")) * (tf * (lexical.K1 + 1)) / (tf + lexical.K1 * (1 - lexical.B + lexical.B * F.col("_len") / F.col("_avg")))
-        score = score + F.when(tf > 0, part).otherwise(0.0)
-    hit = reduce(lambda a, b: a | b, [F.col(f"_f{i}") > 0 for i in range(len(terms))], F.lit(False))
-    scored = rows.where(hit).join(stats, "dataset").select(identifier, "dataset", score.alias("score"))
+    rows = lexical.counted_terms(documents, [F.col(identifier), dataset.alias("dataset")], text, terms, "camel")
+    stats = lexical.corpus_stats(rows, len(terms), ["dataset"])
+    scored = rows.join(stats, "dataset").where("_same is null or _same is not null").select(identifier, "dataset", lexical.term_scores([1.0] * len(terms)).alias("score")).where("score > 0")
     return ranking.merge_datasets(lexical.ranked_top(scored, identifier, per_dataset, partition=["dataset"]), "dataset", identifier, top_n)
 
 

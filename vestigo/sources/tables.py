@@ -10,6 +10,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scanned table of few, small files, handed round to all cores; larger tables stay as they are read.
+
+    A file with one row group is one task, however many cores wait. Only for
+    work that costs far more than moving the rows.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) * 2 > cores:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < SPREAD_BYTES else df
+
+
+#: Tables above this size have splits enough.
+SPREAD_BYTES = 64 << 20
+
+
 def relation_key(column: str | object) -> object:
     """Relation names compare without blanks at the ends and without case."""
     c = F.col(column) if isinstance(column, str) else column
