@@ -72,6 +72,15 @@ def test_projection_rules():
     assert time_text(" 1772323200 ")[0] == "2026-03-01T00:00:00.000Z" and time_text("soon") == ("soon", "present_unparsed")
 
 
+def test_row_and_column_sanitizers_agree(spark):
+    from vestigo.functions.projection import sanitizer
+
+    texts = ["", "x", "AKIA" + "A1" * 8, "a" * 32, "token abc", "a.b@c.example", "10.1.2.3", "Bearer abc.def", "x\n\ty", "aa:bb:cc:dd:ee:ff", "long " * 80, "arn:aws:s3:::b,c", "abcdefgh.abcdefgh.abcdefgh"]
+    clean = sanitizer()
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(tx.sanitize(F.col("t"))).collect()]
+    assert got == [clean(t) for t in texts] and "<redacted:cloud-credential>" in got
+
+
 def test_command_focus():
     assert command_focus("ocsf_process_activity", {"ocsf": {"process": {"cmd_line": "ls"}}})["source_kind"] == "typed_process_command"
     sysmon = {"ocsf": {"unmapped": {"E/Data/@Name": ["Image", "commandline"], "E/Data/#text": ["x", "whoami"]}}}
