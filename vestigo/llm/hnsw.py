@@ -4,8 +4,9 @@ A graph is built in bulk: the nearest candidates of all nodes of a level come
 from blocked matrix products, a node keeps those that are closer to it than to
 a neighbour already kept, and links run both ways up to a fixed width. A level
 is one int32 array (nodes x width, -1 where empty). Searches run for many
-queries at once: the top level gives the entry points, and below it a beam of
-the best nodes is widened along the links until it no longer improves.
+queries at once: the top level is small enough to be compared as a whole and
+gives the entry points; below it a beam of the best nodes is widened along the
+links until it no longer improves.
 Similarity is the dot product of unit vectors.
 """
 
@@ -17,13 +18,13 @@ import numpy as np
 
 #: Links of a node, and candidates they are chosen from.
 WIDTH, CANDIDATES = 16, 24
-#: One node in so many reaches the next level; a level of this size or less is the top.
+#: One node in so many reaches the top level, or fewer, so that the top level has about this size at most.
 LEVEL_SHARE, TOP_SIZE = 16, 1500
 
 
 @dataclass
 class Graph:
-    """``levels[0]`` links all vectors; ``nodes[l]`` are the vectors that reach level l + 1, as positions in the level below."""
+    """``links`` (nodes x width) is the ground level; ``upper`` are the nodes of the top level; ``near_ids`` and ``near_sims`` are each node's nearest others."""
 
     vectors: np.ndarray
     links: np.ndarray

@@ -88,7 +88,9 @@ def nearest_keys(keyed: DataFrame, dimensions: int, n: int, k: int, min_similari
     """
     shards, probes, beam = layout(n, min_similarity)
     share = min(1.0, TRAINING_VECTORS / max(1, n))
-    picked = keyed.where(F.pmod(F.col("k1"), F.lit(1_000_003)) < int(share * 1_000_003) + 1).select("k1", "v").toArrow().sort_by("k1")
+    # a hash sample of distinct vectors: however often one is repeated, it comes to the driver once
+    chosen = keyed.where(F.pmod(F.col("k1"), F.lit(1_000_003)) < int(share * 1_000_003) + 1).select("k1", "v").dropDuplicates(["k1"])
+    picked = chosen.limit(2 * TRAINING_VECTORS).toArrow().sort_by("k1")
     if not picked.num_rows:
         return keyed.sparkSession.createDataFrame([], "a1 long, a2 int, b1 long, b2 int, similarity float")
     centroids = train_centroids(_unit(picked.column("v").combine_chunks(), dimensions), shards)

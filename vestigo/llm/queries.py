@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vestigo.llm import leakage, neighbours, packing, sentences, stable_sample, top_items
 from vestigo.registry import Registry
-from vestigo.sources.tables import table
+from vestigo.sources.tables import spread, table
 
 REGISTRY = Registry()
 
@@ -81,17 +81,17 @@ r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS posit
 
 @REGISTRY.query("p1_found", _COSINE_SQL + "SELECT DISTINCT least(a, b) AS document_id_a, greatest(a, b) AS document_id_b FROM r WHERE position <= 10 AND sim >= 0.92")
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    return neighbours.mutual_pairs(neighbours.most_similar(table(spark, folder, "vectors"), min_similarity=0.92))
+    return neighbours.mutual_pairs(neighbours.most_similar(spread(table(spark, folder, "vectors")), min_similarity=0.92))
 
 
 @REGISTRY.query("p1_neighbours")
 def p1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
-    found = neighbours.most_similar(table(spark, folder, "vectors"), queries=F.col("vector_ordinal") % 100 == 0)
+    found = neighbours.most_similar(spread(table(spark, folder, "vectors")), queries=F.col("vector_ordinal") % 100 == 0)
     return found.withColumn("similarity", F.round(F.col("similarity").cast("double"), 4))
 
 
 def _token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", packing.regex_token_count(F.col("text")).alias("n_tokens"))
+    return spread(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", packing.regex_token_count(F.col("text")).alias("n_tokens"))
 
 
 _TOKENS_SQL = r"WITH c AS (SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^ \t\n\r]')) AS n FROM documents WHERE text IS NOT NULL) "
@@ -111,17 +111,17 @@ def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
 
 @REGISTRY.query("p8_found")
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
-    found = leakage.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    found = leakage.leaked_items(spread(table(spark, folder, "documents").select("doc_id", "text")), table(spark, folder, "eval_items"))
     return found.where(F.col("run_words") >= 12).select("doc_id", "item_id")
 
 
 @REGISTRY.query("p8_report")
 def p8_report(spark: SparkSession, folder: str) -> DataFrame:
-    return leakage.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    return leakage.leaked_items(spread(table(spark, folder, "documents").select("doc_id", "text")), table(spark, folder, "eval_items"))
 
 
 def _prose(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").where(F.col("doc_type").isin("note", "report", "question"))
+    return spread(table(spark, folder, "documents").where(F.col("doc_type").isin("note", "report", "question")).select("doc_id", "text"))
 
 
 @REGISTRY.query("p9_found")
