@@ -88,9 +88,19 @@ def nearest_keys(keyed: DataFrame, dimensions: int, n: int, k: int, min_similari
     """
     shards, probes, beam = layout(n, min_similarity)
     share = min(1.0, TRAINING_VECTORS / max(1, n))
-    # a hash sample of distinct vectors: however often one is repeated, it comes to the driver once
-    chosen = keyed.where(F.pmod(F.col("k1"), F.lit(1_000_003)) < int(share * 1_000_003) + 1).select("k1", "v").dropDuplicates(["k1"])
-    picked = chosen.limit(2 * TRAINING_VECTORS).toArrow().sort_by("k1")
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A split's vectors, each once: a vector that a third of all rows share reaches the driver at most once per split."""
+        seen: set[int] = set()
+        for b in batches:
+            new = [i for i, k in enumerate(b.column(0).to_pylist()) if not (k in seen or seen.add(k))]
+            if new:
+                yield b.take(pa.array(new))
+
+    drawn = keyed.where(F.pmod(F.col("k1"), F.lit(1_000_003)) < int(share * 1_000_003) + 1).select("k1", "v")
+    picked = drawn.mapInArrow(once, drawn.schema).limit(2 * TRAINING_VECTORS).toArrow().sort_by("k1")
+    first = np.diff(picked.column("k1").to_numpy(), prepend=np.iinfo(np.int64).min) != 0 if picked.num_rows else []
+    picked = picked.filter(pa.array(first, pa.bool_()))
     if not picked.num_rows:
         return keyed.sparkSession.createDataFrame([], "a1 long, a2 int, b1 long, b2 int, similarity float")
     centroids = train_centroids(_unit(picked.column("v").combine_chunks(), dimensions), shards)
