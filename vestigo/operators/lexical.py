@@ -113,9 +113,10 @@ def bm25_scan(
     weights = {t: terms.count(t) if repeat_terms else 1 for t in sorted(set(terms))}
     ok = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     base = documents if scope == "corpus" else documents.where(ok)
-    rows = counted_terms(base, [F.col(identifier), ok.alias("_ok")], text, list(weights), tokenizer)
+    rows = counted_terms(base, [F.col(identifier), ok.cast("int").alias("_ok")], text, list(weights), tokenizer)
     stats = corpus_stats(rows, len(weights))
-    out = rows.crossJoin(F.broadcast(stats)).where("_ok and (_same is null or _same is not null)").select(identifier, term_scores(list(weights.values())).alias("score"))
+    # the filter reads both sides, so it stays above the exchange that both share
+    out = rows.crossJoin(F.broadcast(stats)).where("(_same is null or _same is not null) and _ok * _n > 0").select(identifier, term_scores(list(weights.values())).alias("score"))
     return out if keep_zero else out.where("score > 0")
 
 

@@ -26,6 +26,7 @@ def build_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.host": "127.0.0.1",
+        "spark.sql.execution.sortBeforeRepartition": "false",  # one process: no task is run again on other rows
     } | conf
     spark = b.config(map=settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
