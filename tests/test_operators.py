@@ -310,3 +310,41 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = spark.read.parquet(str(tmp_path / "in")).withColumn("ms", F.unix_millis("at"))
     want = {r.window_start_ms: (r.n, int(r.value_sum)) for r in derive.metric_windows(batch, ["key"], "ms", "v").collect()}
     assert got == {w: v for w, v in want.items() if w < 1772409600000} and got
+
+
+def test_xml_fields(spark):
+    xml = "<Event xmlns='urn:x'><EventData><Data Name='Image'>a.exe</Data><Data Name='CommandLine'>run it</Data><Data Name='Empty'/></EventData></Event>"
+    assert one(spark, lambda c: tx.xml_field(c, "CommandLine"), xml) == "run it"
+    assert one(spark, lambda c: tx.xml_field(c, "Other"), xml) is None
+    with pytest.raises(ValueError):
+        tx.xml_field(F.lit(""), "a'b")
+
+
+def test_covers_owners_and_pilots(spark):
+    want = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    made = spark.createDataFrame([("a",), ("a",), ("d",), (None,)], "k string")
+    assert audit.exact_cover(want, made, "k").first()[:] == (2, 1, 1)
+    held = spark.createDataFrame([("r1", "x"), ("r1", "y"), ("r2", "x"), ("r3", "x"), ("r3", "y"), ("r1", "x")], "r string, o string")
+    assert {tuple(r) for r in audit.shared_owners(held, "r", "o", ["r3"]).collect()} == {("r1", 2)}
+    rows = spark.createDataFrame([(i, "big" if i < 50 else "small") for i in range(58)], "id long, rel string")
+    got = {r["rel"]: r["count"] for r in sampling.pilot(rows, "rel", "id", census=8, sample=20).groupBy("rel").count().collect()}
+    assert got == {"big": 20, "small": 8}
+
+
+def test_stored_query_vectors_and_envelopes(spark):
+    stored = spark.createDataFrame([("q", "dense", 5, [1.0]), ("q", "dense", 9, [2.0]), ("p", None, 5, [3.0]), ("p", None, 5, [3.0])], "query string, mode string, top_n int, v array<float>")
+    assert dense.query_vector(stored, {"query": "q", "mode": "dense", "top_n": 9}, "v") == [2.0]
+    for surface in ({"query": "q", "mode": "dense"}, {"query": "z"}, {"query": "p", "mode": None, "top_n": 5}):
+        with pytest.raises(KeyError):
+            dense.query_vector(stored, surface, "v")
+    hits = spark.createDataFrame([("a",)], "document_id string")
+    assert search.envelope(hits, hits.union(hits), 1).first()[:] == (1, 2, False, "pointer")
+    assert search.envelope(hits.limit(0), hits.limit(0), 1).first()[:] == (0, 0, True, "miss")
+
+
+def test_canonical_lines(spark, tmp_path):
+    (tmp_path / "good.json").write_text('{"a":1,"b":"é"}\n{"a":{"x":[1,2]}}\n')
+    (tmp_path / "bad.json").write_text('{"b":1,"a":2}\n')
+    assert sinks.read_canonical_lines(spark, str(tmp_path / "good.json")).count() == 2
+    with pytest.raises(Exception):
+        sinks.read_canonical_lines(spark, str(tmp_path / "bad.json")).collect()

@@ -117,3 +117,10 @@ def decode_script(command: Column) -> Column:
     wide = F.when(F.octet_length(raw) % 2 == 0, F.try_validate_utf8(F.decode(raw, "UTF-16LE")))
     clean = wide.isNotNull() & ~wide.rlike(r"[\x00-\x08\x0e-\x1f\x7f-\x9f�]")
     return F.when(clean, wide).otherwise(F.when(F.is_valid_utf8(raw), F.decode(raw, "UTF-8")))
+
+
+def xml_field(xml: Column, name: str) -> Column:
+    """The text of the first Data element with that Name in an event's XML; null if there is none. Namespaces don't matter."""
+    if "'" in name:
+        raise ValueError("a field name can't hold an apostrophe")
+    return F.get(F.xpath(xml, F.lit(f"//*[local-name()='Data'][@Name='{name}']/text()")), F.lit(0))

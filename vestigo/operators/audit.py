@@ -46,3 +46,18 @@ def payload_conflicts(rows: DataFrame, key: str, payload: list[str]) -> DataFram
     """(keys, repeated, conflicting): keys listed again, and those whose payloads then differ; equal payloads are found by hash."""
     g = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"), F.min(F.xxhash64(*payload)).alias("_a"), F.max(F.xxhash64(*payload)).alias("_b"))
     return g.agg(F.count("*").alias("keys"), F.count_if(F.col("_n") > 1).alias("repeated"), F.count_if(F.col("_a") != F.col("_b")).alias("conflicting"))
+
+
+def exact_cover(wanted: DataFrame, made: DataFrame, key: str) -> DataFrame:
+    """(missing, extra, repeated): keys that were to be made once and weren't, that nobody wanted, and that were made more than once."""
+    both = wanted.select(key, F.lit(1).alias("_w"), F.lit(0).alias("_m")).unionByName(made.select(key, F.lit(0).alias("_w"), F.lit(1).alias("_m"))).where(F.col(key).isNotNull())
+    n = both.groupBy(key).agg(F.max("_w").alias("_w"), F.sum("_m").alias("_m"))
+    return n.agg(
+        F.count_if((F.col("_w") == 1) & (F.col("_m") == 0)).alias("missing"), F.count_if((F.col("_w") == 0) & (F.col("_m") > 0)).alias("extra"), F.count_if(F.col("_m") > 1).alias("repeated")
+    )
+
+
+def shared_owners(rows: DataFrame, owned: str, owner: str, allowed: list[str] = ()) -> DataFrame:
+    """(owned, owners): what more than one owner holds and isn't allowed to be shared."""
+    g = rows.where(F.col(owned).isNotNull()).select(owned, owner).distinct().groupBy(owned).agg(F.count("*").alias("owners")).where("owners > 1")
+    return g.where(~F.col(owned).isin(list(allowed))) if allowed else g

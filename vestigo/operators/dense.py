@@ -42,6 +42,17 @@ def vector_of(vectors: DataFrame, key: object, identifier: str, vector: str) ->
     return list(got[0][0])
 
 
+def query_vector(vectors: DataFrame, surface: dict[str, object], vector: str) -> list[float]:
+    """The one vector stored under a request's full surface (its text, mode, limit and so on); none or several are an error."""
+    rows = vectors
+    for k, v in surface.items():
+        rows = rows.where(F.col(k).eqNullSafe(F.lit(v)))
+    got = rows.select(vector).take(2)
+    if len(got) != 1:
+        raise KeyError(f"{'no' if not got else 'more than one'} stored vector for this request")
+    return list(got[0][0])
+
+
 def norm_audit(vectors: DataFrame, vector: str, tolerance: float = 1e-4) -> DataFrame:
     n = norm(F.col(vector))
     return vectors.agg(

@@ -172,3 +172,10 @@ def round_robin(capacity: dict[tuple[str, int], int], total: int) -> dict[tuple[
 def nearest_rank(values: list[float], share: float) -> float | None:
     ordered = np.sort(np.asarray(values, float))
     return float(ordered[math.ceil(share * len(ordered)) - 1]) if len(ordered) else None
+
+
+def pilot(rows: DataFrame, relation: str, identifier: str, census: int = 1000, sample: int = 2000, seed: str = "pilot") -> DataFrame:
+    """Small relations whole, of others the ``sample`` rows of smallest priority."""
+    sizes = rows.where(F.col(relation).isNotNull()).groupBy(relation).agg(F.count("*").alias("_n"))
+    kept = hash_min(rows, relation, identifier, max(census, sample), seed)
+    return kept.join(sizes, relation).where((F.col("_n") <= census) | (F.col("position") <= sample)).drop("_n", "priority")

@@ -91,3 +91,9 @@ def check_plan(plan: DataFrame) -> DataFrame:
     twice = plan.groupBy("query_id", "mode").count().where("count > 1").select("query_id", F.lit("repeated").alias("problem"))
     mixed = plan.groupBy("query_id").agg(F.countDistinct("query").alias("n")).where("n > 1").select("query_id", F.lit("text differs").alias("problem"))
     return twice.unionByName(mixed)
+
+
+def envelope(hits: DataFrame, scored: DataFrame, top_n: int) -> DataFrame:
+    """One row about a result: returned and eligible hits, whether all were returned, and 'pointer' or 'miss'."""
+    counts = hits.agg(F.count("*").alias("returned")).crossJoin(scored.agg(F.count("*").alias("eligible")))
+    return counts.select("returned", "eligible", (F.col("eligible") <= top_n).alias("exhausted"), F.when(F.col("returned") > 0, "pointer").otherwise("miss").alias("disposition"))

@@ -50,3 +50,21 @@ def cached_embeddings(documents: DataFrame, cache: DataFrame, embed, key: str =
     wanted = documents.where(F.col(text).isNotNull()).select(F.sha2(F.col(text), 256).alias(key), text).dropDuplicates([key])
     fresh = wanted.join(cache.select(key), key, "left_anti").mapInPandas(embed, f"{key} string, vector array<float>")
     return cache.select(key, "vector").join(wanted.select(key), key, "left_semi").unionByName(fresh)
+
+
+def read_canonical_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value): the lines of JSON files, each an object with sorted keys and no blanks outside texts; any other line is an error."""
+    import json
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for line in b.column(0).to_pylist():
+                o = json.loads(line)
+                if not isinstance(o, dict) or json.dumps(o, sort_keys=True, separators=(",", ":"), ensure_ascii=False) != line:
+                    raise ValueError(f"not canonical: {line[:80]}")
+            yield b
+
+    return spark.read.text(path).select("value").mapInArrow(check, "value string")
