@@ -143,12 +143,11 @@ def rank_audit(spark: SparkSession, folder: str) -> DataFrame:
     return got.withColumn("contiguous", F.coalesce("contiguous", F.lit(False)))
 
 
-SIM = "round(round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9), 6)"
+SIM = "round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9)"
 
 
 def _neighbours(spark: SparkSession, folder: str, k: int, scope: str) -> DataFrame:
-    found = dense.exact_neighbours(table(spark, folder, "embeddings"), "vec_id", "embedding", "label", k, scope)
-    return found.withColumn("similarity", F.round("similarity", 6))
+    return dense.exact_neighbours(table(spark, folder, "embeddings"), "vec_id", "embedding", "label", k, scope)
 
 
 def _nn_sql(scope: str, k: int) -> str:
