@@ -2,7 +2,7 @@
 
 import random
 
-from vestigo.llm.leakage import align, leaked_items, longest_run, ngrams, word_normaliser
+from vestigo.llm.leakage import align, align_scores, leaked_items, longest_run, ngrams, word_normaliser
 import numpy as np
 
 
@@ -59,6 +59,42 @@ def test_exact_runs_by_brute_force(spark):
     assert leaked_items(frame, tests.limit(0)).count() == 0
 
 
+def test_scores_of_many_texts_equal_plain():
+    rng = random.Random(5)
+    for _ in range(20):
+        a, *texts = ([rng.randrange(6) for _ in range(rng.randrange(1, 25))] for _ in range(9))
+        got = align_scores(np.array(a, np.int32), [np.array(t, np.int32) for t in texts])
+        assert got.tolist() == [_plain_align(a, t) for t in texts]
+
+
+def test_all_passages_by_brute_force(spark):
+    """One whole copy, many partial ones that make the seeds around them common, and copies edited at every third or fifth word."""
+    rng = random.Random(6)
+    item = [f"i{k}" for k in range(30)]
+    other = [f"i{rng.randrange(30)}" for _ in range(25)]
+    noise = lambda n: [f"x{rng.randrange(1000)}" for _ in range(n)]
+    bodies = [noise(9) + item + noise(7)]
+    for _ in range(120):
+        n, s = rng.randrange(6, 12), rng.randrange(20)
+        bodies.append(noise(rng.randrange(8)) + item[s : s + n] + noise(rng.randrange(8)))
+    for step in (2, 3, 4, 5):
+        for s in range(step):
+            bodies.append([f"y{k}" if k % step == s else w for k, w in enumerate(item)])
+            bodies.append([w for k, w in enumerate(item) if k % step != s])
+            bodies.append([x for k, w in enumerate(item) for x in ([w, "z"] if k % step == s else [w])])
+    docs = [(k, " ".join(b)) for k, b in enumerate(bodies)]
+    tests = {7: item, 8: other, 9: item[:7]}
+    want = set()
+    for d, b in enumerate(bodies):
+        for i, w in tests.items():
+            if (score := _plain_align(w, b)) >= 16:
+                want.add((d, i, score))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for limit in (200_000, 20):
+        found = leaked_items(frame, spark.createDataFrame([(i, " ".join(w)) for i, w in tests.items()], "item_id long, text string"), pass_ngrams=limit).collect()
+        assert sorted((r.doc_id, r.item_id, r.score) for r in found) == sorted(want)
+
+
 def test_edited_copy_is_found(spark):
     item = "the quiet harbor master counted seven green lanterns before the storm took the last ferry north to the islands"
     copy = "yesterday the quiet harbor master counted eight green lanterns before the big storm took the last ferry north"

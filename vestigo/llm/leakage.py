@@ -1,10 +1,15 @@
 """Held-out test items that leaked into a corpus.
 
-Seeds: every window of an item's words is represented by its rarest word
-n-grams, so a passage of window length always holds a seed while common
-n-grams aren't looked up. Corpus texts are scanned once for the items'
-n-grams; pairs with a seed are scored by Smith-Waterman alignment over words,
-which also bridges words that were changed, dropped or added.
+Pairs are scored by Smith-Waterman alignment over words, which also bridges
+words that were changed, dropped or added. A passage of a given score needn't
+hold any long run, so no n-gram seed meets all of them: a pair is left out only
+if a bound on its score shows that it can't reach the score asked for, and the
+rest is aligned many documents at a time.
+
+Where only runs of window length are asked for, seeds do: every window of an
+item's words is represented by its rarest word n-gram, so a passage of window
+length always holds a seed while common n-grams aren't looked up. Corpus texts
+are scanned once for the items' n-grams; pairs with a seed are aligned.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ WINDOW_WORDS = 12
 MATCH, CHANGE, GAP = 2, -1, -1
 #: Item n-grams that one pass broadcasts (about 100 bytes each); more items go in further passes.
 PASS_NGRAMS = 200_000
+#: Words of documents that are bounded and aligned together, items in one table of bounds, and cells of one bound matrix.
+GROUP_WORDS, TABLE_ITEMS, BOUND_CELLS = 30_000, 256, 4_000_000
 
 _PLAIN = re.compile(r"[a-z0-9]+")
 _WORDS = re.compile(r"[^\W_]+")
@@ -80,6 +87,71 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int, int]:
     return score, equal, int(i), end_a, int(j), end_b
 
 
+def align_scores(a: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
+    """The score of ``align(a, t)`` for every text t; the texts, none of them empty, stand behind each other.
+
+    Each text is preceded by a cell that is held at 0, and the ramp of the
+    running maximum jumps there by more than any score, so that nothing
+    crosses over from the text before.
+    """
+    starts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+    n = int(starts[-1]) + len(texts[-1]) + 1
+    x = np.full(n, -2, np.int32)
+    for s, t in zip(starts, texts):
+        x[s + 1 : s + 1 + len(t)] = t
+    ramp = np.full(n, -GAP, np.int64)
+    ramp[starts] += MATCH * len(a) + 1
+    np.cumsum(ramp, out=ramp)
+    if ramp[-1] < 2**30:
+        ramp = ramp.astype(np.int32)
+    h, best, up = (np.zeros(n, ramp.dtype) for _ in range(3))
+    for word in a:
+        np.multiply(x[1:] == word, MATCH - CHANGE, out=up[1:], casting="unsafe")
+        up[1:] += h[:-1] + CHANGE
+        h += GAP
+        np.maximum(up, h, out=up)
+        np.maximum(up, 0, out=up)
+        up[starts] = 0
+        up += ramp
+        np.maximum.accumulate(up, out=h)
+        h -= ramp
+        np.maximum(best, h, out=best)
+    return np.maximum.reduceat(best, starts)
+
+
+class Bounds:
+    """For a coded text, the items with which it can reach a score at all.
+
+    In an alignment each word of the text's part is equal to a word of the item
+    or costs a change or a gap, so no score exceeds the best sum of a stretch
+    of the text in which words of the item count MATCH and others the smaller cost.
+    """
+
+    def __init__(self, items: list[np.ndarray], n_words: int) -> None:
+        self.tables = []
+        for s in range(0, len(items), TABLE_ITEMS):
+            part = items[s : s + TABLE_ITEMS]
+            held = np.unique(np.concatenate(part))
+            local = np.full(n_words + 1, len(held), np.int32)  # the last code stands for words of no item
+            local[held] = np.arange(len(held))
+            worth = np.full((len(held) + 1, len(part)), max(CHANGE, GAP), np.int32)
+            for k, codes in enumerate(part):
+                worth[local[codes], k] = MATCH
+            self.tables.append((s, local, worth))
+
+    def items(self, text: np.ndarray, score: int) -> list[int]:
+        out: list[int] = []
+        step = max(1, BOUND_CELLS // max(1, len(text)))
+        for first, local, worth in self.tables:
+            codes = local[text]
+            for s in range(0, worth.shape[1], step):
+                total = np.cumsum(worth[:, s : s + step][codes], axis=0, dtype=np.int32)
+                low = np.minimum(np.minimum.accumulate(total, axis=0), 0)
+                total[1:] -= low[:-1]
+                out.extend((np.flatnonzero(total.max(axis=0) >= score) + first + s).tolist())
+        return out
+
+
 def longest_run(a: list[str], b: list[str]) -> int:
     """Most consecutive words that two sequences share."""
     best, last = 0, [0] * (len(b) + 1)
@@ -105,16 +177,20 @@ def leaked_items(
     window_words: int = WINDOW_WORDS,
     min_score: int = 16,
     pass_ngrams: int = PASS_NGRAMS,
+    every_passage: bool = True,
 ) -> DataFrame:
     """(document, item, score, equal_words, run_words) of every leaked passage with alignment score ``min_score`` or more.
 
     ``score`` and ``equal_words`` are of the best local alignment, ``run_words``
-    is the longest shared run of consecutive words. Every pair that shares
-    ``window_words`` consecutive words comes out if min_score is at most twice
-    that number. Texts are taken whole. ``items`` is a stated set that the
-    driver reads; its n-grams are broadcast in passes of bounded size. Null
-    and empty texts match nothing; repeated documents or items count once.
-    Items shorter than a seed are represented by their whole text.
+    is the longest shared run of consecutive words. Texts are taken whole.
+    ``items`` is a stated set that the driver reads; its words are broadcast in
+    passes of bounded size. Null and empty texts match nothing; repeated
+    documents or items count once.
+
+    Without ``every_passage`` only pairs with a seed are aligned: every pair
+    that shares ``window_words`` consecutive words comes out if min_score is at
+    most twice that number, others may be missing. Items shorter than a seed
+    are then represented by their whole text.
     """
     words = word_normaliser()
     kinds = dict(documents.dtypes)[document], dict(items.dtypes)[item]
@@ -129,15 +205,62 @@ def leaked_items(
         used += len(w)
         blocks[-1].append((k, w))
     docs = documents.select(F.col(document).alias("d"), F.col(text).alias("t")).where("d is not null and t is not null and t != ''")
-    found = [_pass(docs, block, kinds, seed_words, window_words, min_score) for block in blocks if block]
-    schema = f"d {kinds[0]}, i {kinds[1]}, score int, equal_words int, run_words int"
-    out = found[0] if found else docs.sparkSession.createDataFrame([], schema)
+    if every_passage:
+        found = [_every_pass(docs, block, kinds, max(1, min_score)) for block in blocks if block]
+    else:
+        found = [_pass(docs, block, kinds, seed_words, window_words, min_score) for block in blocks if block]
+    out = found[0] if found else docs.sparkSession.createDataFrame([], _found_schema(kinds))
     for more in found[1:]:
         out = out.unionByName(more)
     best = out.groupBy("d", "i").agg(F.max("score").alias("score"), F.max("equal_words").alias("equal_words"), F.max("run_words").alias("run_words"))
     return best.select(F.col("d").alias(document), F.col("i").alias(item), "score", "equal_words", "run_words")
 
 
+def _every_pass(docs: DataFrame, tests: list[tuple[object, list[str]]], kinds: tuple[str, str], min_score: int) -> DataFrame:
+    """All pairs that reach ``min_score``, by bounds and alignment."""
+    shipped = docs.sparkSession.sparkContext.broadcast([(k, w) for k, w in tests if MATCH * len(w) >= min_score])
+    types = _found_types(kinds)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, items = word_normaliser(), shipped.value
+        codes: dict[str, int] = {}
+        coded = [np.array([codes.setdefault(x, len(codes)) for x in w], np.int32) for _, w in items]
+        bounds = Bounds(coded, len(codes)) if items else None
+
+        def scored(group: list[tuple[object, list[str], np.ndarray]]) -> list[tuple]:
+            hopeful: dict[int, list[int]] = {}
+            for at, (_, _, text) in enumerate(group):
+                for k in bounds.items(text, min_score):
+                    hopeful.setdefault(k, []).append(at)
+            rows = []
+            for k, places in hopeful.items():
+                key, item = items[k]
+                points = align_scores(coded[k], [group[at][2] for at in places])
+                for at in (places[p] for p in np.flatnonzero(points >= min_score)):
+                    d, w, text = group[at]
+                    # the item's rows against the whole text
+                    best, equal, *_ = align(coded[k], text)
+                    rows.append((d, key, best, equal, longest_run(item, w)))
+            return rows
+
+        group, used = [], 0
+        for b in batches if items else ():
+            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                w = words(t)
+                text = np.array([codes.get(x, len(codes)) for x in w], np.int32)
+                if MATCH * np.count_nonzero(text < len(codes)) < min_score:
+                    continue
+                group.append((d, w, text))
+                used += len(w)
+                if used >= GROUP_WORDS:
+                    yield from _typed(scored(group), types)
+                    group, used = [], 0
+        if group:
+            yield from _typed(scored(group), types)
+
+    return docs.mapInArrow(pairs, _found_schema(kinds))
+
+
 def _pass(docs: DataFrame, tests: list[tuple[object, list[str]]], kinds: tuple[str, str], n: int, window: int, min_score: int) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     grams: dict[str, int] = {}
@@ -200,14 +323,26 @@ def _pass(docs: DataFrame, tests: list[tuple[object, list[str]]], kinds: tuple[s
                 out.append((d, key, points, equal, longest_run(item, w)))
         return out
 
-    schema = f"d {kinds[0]}, i {kinds[1]}, score int, equal_words int, run_words int"
-    types = pa.schema([("d", _arrow(kinds[0])), ("i", _arrow(kinds[1])), ("score", pa.int32()), ("equal_words", pa.int32()), ("run_words", pa.int32())])
+    types = _found_types(kinds)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in scan(score, batches):
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(b.columns, types)], schema=types)
 
-    return docs.mapInArrow(pairs, schema)
+    return docs.mapInArrow(pairs, _found_schema(kinds))
+
+
+def _found_schema(kinds: tuple[str, str]) -> str:
+    return f"d {kinds[0]}, i {kinds[1]}, score int, equal_words int, run_words int"
+
+
+def _found_types(kinds: tuple[str, str]) -> pa.Schema:
+    return pa.schema([("d", _arrow(kinds[0])), ("i", _arrow(kinds[1])), ("score", pa.int32()), ("equal_words", pa.int32()), ("run_words", pa.int32())])
+
+
+def _typed(rows: list[tuple], types: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for b in _batches(rows):
+        yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(b.columns, types)], schema=types)
 
 
 def _arrow(kind: str) -> pa.DataType:
