@@ -178,3 +178,20 @@ def test_flat_table_values(spark):
     graph = nt.schema_graph(df)
     row = nt.flat_table(nt.shred(df, graph), graph, nt.ROOT, ["u/v", "u/w", "n", "s"]).first()
     assert (row["u.v"], row["u.w"], row["n"], row["s"]) == ("1", "[1, 2]", None, "x")
+
+
+def test_document_groups_of_all_scripts(spark, tmp_path):
+    import hashlib
+
+    from vestigo.plans.relational_queries import REGISTRY
+
+    texts = ["A  b", "a\tb ", "a\u00a0B", "“Quoted”", "“quoted”\n", "ÄÖ x", "äö  X", "早く 来て", "早く\u3000来て", "ΌΣΟΣ", "όσος", "İx", "", " ", None]
+    docs = [(f"d{k:02d}", t) for k, t in enumerate(texts)]
+    spark.createDataFrame(docs, "document_id string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want: dict[str, list[str]] = {}
+    for d, t in docs:
+        if t is not None:
+            want.setdefault(hashlib.sha256(" ".join(t.split()).lower().encode()).hexdigest(), []).append(d)
+    got = REGISTRY.fns["document_groups_all"](spark, str(tmp_path)).collect()
+    assert {r.content_sha256: (r.occurrence_count, r.representative) for r in got} == {k: (len(v), min(v)) for k, v in want.items()}
+    assert len(got) == len(want) == 7
