@@ -81,6 +81,27 @@ def test_row_and_column_sanitizers_agree(spark):
     assert got == [clean(t) for t in texts] and "<redacted:cloud-credential>" in got
 
 
+def test_whole_texts_are_sanitized(spark, tmp_path):
+    """All rules over whole texts of any script, against the rules of Python's own engine."""
+    import re
+
+    from vestigo.plans.preparation_queries import REGISTRY
+
+    secrets = ["josé@mail.example", "10.1.2.3", "aa:bb:cc:dd:ee:ff", "AKIA" + "A1" * 8, "a" * 32, "Bearer abc.def", "password: x1", "arn:aws:s3:::b", "abcdefgh.abcdefgh.abcdefgh", "123e4567-e89b-12d3-a456-426614174000"]
+    texts = [f"{filler * 60} {s}，{s}\u00a0 {s} ende" for filler in ("plain ", "“größer” ", "早く来て ") for s in secrets] + ["", None, "é10.1.2.3", "ébearer abc"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def clean(t):
+        t = re.sub(r"[\0\r\n]", " ", t)
+        for pattern, to in tx.REDACTIONS:
+            t = re.sub(pattern, re.sub(r"\$(\d)", r"\\\1", to), t)
+        return " ".join(t.split())
+
+    got = {r.doc_id: r.clean for r in REGISTRY.fns["sanitized_full"](spark, str(tmp_path)).collect()}
+    assert got == {k: None if t is None else clean(t) for k, t in enumerate(texts)}
+    assert max(len(t) for t in got.values() if t) > 400 and not any("josé@" in t for t in got.values() if t)
+
+
 def test_command_focus():
     assert command_focus("ocsf_process_activity", {"ocsf": {"process": {"cmd_line": "ls"}}})["source_kind"] == "typed_process_command"
     sysmon = {"ocsf": {"unmapped": {"E/Data/@Name": ["Image", "commandline"], "E/Data/#text": ["x", "whoami"]}}}

@@ -58,19 +58,25 @@ REDACTIONS = (
 )
 
 
-def sanitize(text: Column, limit: int = 240) -> Column:
-    """Free text without control breaks, secrets and identifiers, white space collapsed, bounded."""
+def _unicode(pattern: str) -> str:
+    """The same pattern with \\w, \\d, \\s, \\b and letter case by Unicode, as in the row-wise rules."""
+    return "(?U)" + pattern
+
+
+def sanitize(text: Column, limit: int | None = 240) -> Column:
+    """Free text without control breaks, secrets and identifiers, white space collapsed; bounded, or whole if the limit is None."""
     out = F.regexp_replace(text, r"[\x00\r\n]", " ")
     for pattern, to in REDACTIONS:
-        out = F.regexp_replace(out, pattern, to)
-    return bounded(F.trim(F.regexp_replace(out, r"\s+", " ")), limit)
+        out = F.regexp_replace(out, _unicode(pattern), to)
+    out = F.trim(F.regexp_replace(out, _unicode(r"\s+"), " "))
+    return out if limit is None else bounded(out, limit)
 
 
 def holds_credential(text: Column) -> Column:
     """Whether a text shows an assigned secret, a bearer or access key, or a three-part token."""
     hit = F.lit(False)
     for pattern, _ in (*REDACTIONS[:3], REDACTIONS[4]):
-        hit = hit | text.rlike(pattern)
+        hit = hit | text.rlike(_unicode(pattern))
     return hit
 
 

@@ -102,7 +102,7 @@ def source_rows(spark: SparkSession, folder: str) -> DataFrame:
     SELECT doc_id, md5(trim(regexp_replace(t, '\s+', ' ', 'g'))) AS secrets_md5 FROM b""",
 )
 def sanitize_text(spark: SparkSession, folder: str) -> DataFrame:
-    """Only the first two redactions: the others look around, which the SQL engine's patterns can't."""
+    """Only ASCII texts and the first two redactions, as in its SQL: the other rules look around, which the SQL engine's patterns can't. All of both: sanitized_full."""
     rows = table(spark, folder, "documents").where(F.col("text").isNotNull() & F.col("text").rlike(r"\A[\x00-\x7f]*\z"))
     t = F.regexp_replace("text", r"[\x00\r\n]", " ")
     for pattern, to in tx.REDACTIONS[:2]:
@@ -112,7 +112,8 @@ def sanitize_text(spark: SparkSession, folder: str) -> DataFrame:
 
 @REGISTRY.query("sanitized_full")
 def sanitized_full(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", tx.sanitize(F.col("text")).alias("clean"), tx.holds_credential(F.col("text")).alias("credential"))
+    """The whole redacted text of every document, by all rules."""
+    return table(spark, folder, "documents").select("doc_id", tx.sanitize(F.col("text"), None).alias("clean"), tx.holds_credential(F.col("text")).alias("credential"))
 
 
 @REGISTRY.query(
