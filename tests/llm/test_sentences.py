@@ -71,3 +71,16 @@ def test_split_on_the_cluster(spark):
     assert sorted((r.start_char, r.end_char) for r in got if r.doc_id == 1) == [(0, 4), (0, 4), (5, 9), (5, 9)]
     assert not [r for r in got if r.doc_id in (2, 3, 4)] and [r for r in got if r.doc_id is None]
     assert split_sentences(df.limit(0)).count() == 0
+
+
+def test_unit_counts_cover_every_doc_type(spark, tmp_path):
+    from vestigo.llm.queries import REGISTRY
+
+    text = "It is done. The next one starts.\n\nkind: state | relation: x"
+    kinds = ["projection", "rawlog", "note", "report", "question", None]
+    docs = [(k, text, kind) for k, kind in enumerate(kinds)] + [(10, " ", "rawlog"), (11, None, "projection")]
+    spark.createDataFrame(docs, "doc_id long, text string, doc_type string").write.parquet(f"{tmp_path}/documents.parquet")
+    spans = sentence_spans(text)
+    want = (len(spans), max(e - s for s, e in spans))
+    got = REGISTRY.fns["p9_unit_counts"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.units, r.longest_unit) for r in got} == dict.fromkeys(range(len(kinds)), want) and want[0] == 3

@@ -131,5 +131,6 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 
 @REGISTRY.query("p9_unit_counts")
 def p9_unit_counts(spark: SparkSession, folder: str) -> DataFrame:
-    units = sentences.split_sentences(_prose(spark, folder))
+    """Every document, of any doc_type; p9_found is fixed to prose."""
+    units = sentences.split_sentences(spread(table(spark, folder, "documents").select("doc_id", "text")))
     return units.groupBy("doc_id").agg(F.count("*").alias("units"), F.max(F.col("end_char") - F.col("start_char")).alias("longest_unit"))
