@@ -195,3 +195,28 @@ def test_document_groups_of_all_scripts(spark, tmp_path):
     got = REGISTRY.fns["document_groups_all"](spark, str(tmp_path)).collect()
     assert {r.content_sha256: (r.occurrence_count, r.representative) for r in got} == {k: (len(v), min(v)) for k, v in want.items()}
     assert len(got) == len(want) == 7
+
+
+def test_flat_cells_through_child_tables(spark, tmp_path):
+    """One event that holds 'header' in an array and 'ocsf' under a second parent makes both tables; the others keep their cells."""
+    import pytest
+
+    from vestigo.plans.data_problems import REGISTRY
+
+    texts = ['{"ocsf": {"status": "ok", "time": 5}, "header": {"source_id": "s1"}, "metric": "m"}', '{"header": [{"source_id": "s2"}], "x": {"ocsf": {"status": "no"}}}']
+    events = [(f"e{k}", t) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(events, "event_id string, typed_event_json string")
+    df.write.parquet(f"{tmp_path}/typed_events.parquet")
+    rows = {r.event_id: r.asDict() for r in REGISTRY.fns["p6_event_table"](spark, str(tmp_path)).collect()}
+    assert [rows["e0"][c] for c in ("ocsf.status", "ocsf.time", "header.source_id", "metric")] == ["ok", "5", "s1", "m"]
+    assert [rows["e1"][c] for c in ("ocsf.status", "ocsf.time", "header.source_id", "metric")] == [None] * 4
+    graph = nt.schema_graph(df)
+    assert {"header", "ocsf"} <= graph.tables
+    with pytest.raises(ValueError, match="ocsf/status"):
+        nt.flat_table(nt.shred(df, graph), graph, nt.ROOT, ["metric", "ocsf/status"])
+    got = [(r.event_id, r.table_name, r.parent_table, r.parent_row_no, r.field, r.place, json.loads(r.cells)) for r in REGISTRY.fns["p6_rows"](spark, str(tmp_path)).collect()]
+    assert ("e0", "ocsf", "$", 0, "ocsf", "", {"status": "sok", "time": "n5"}) in got
+    assert ("e1", "header", "$", 0, "header", "0", {"source_id": "ss2"}) in got and len(got) == 6
+    capped = nt.schema_graph(df, limit=1)
+    held = sorted(str(v) for t in (nt.ROOT, nt.OTHER) for r in nt.flat_table(nt.shred(df, capped), capped, t).collect() for v in [*list(r)[6:-1], *r.other_cells.values()] if v is not None)
+    assert not capped.whole and len(held) == 6

@@ -35,11 +35,20 @@ ROW_SCHEMA = (
 
 @dataclass(frozen=True)
 class SchemaGraph:
-    """Elements with a table, singletons, and the scalar columns seen at each element."""
+    """Elements with a table, singletons, and the scalar columns seen at each element; whether no edge was left out."""
 
     tables: frozenset[str]
     inlined: frozenset[str]
     columns: dict[str, list[str]]
+    whole: bool = True
+
+    def crosses(self, pointer: str) -> bool:
+        """Whether a JSON pointer within a row leads through an element that isn't inlined in it."""
+        return any(p not in self.inlined for p in _parts(pointer)[:-1])
+
+
+def _parts(pointer: str) -> list[str]:
+    return [p.replace("~1", "/").replace("~0", "~") for p in pointer.split("/")]
 
 
 def schema_edges(events: DataFrame, json: str = "typed_event_json") -> DataFrame:
@@ -86,7 +95,8 @@ def schema_edges(events: DataFrame, json: str = "typed_event_json") -> DataFrame
 
 def schema_graph(events: DataFrame, json: str = "typed_event_json", limit: int = MAX_EDGES) -> SchemaGraph:
     """The graph of all events; with more than ``limit`` edges the most common ones."""
-    edges = schema_edges(events, json).orderBy(F.desc("splits"), "parent", "field", "kind").limit(limit).collect()
+    edges = schema_edges(events, json).orderBy(F.desc("splits"), "parent", "field", "kind").limit(limit + 1).collect()
+    whole, edges = len(edges) <= limit, edges[:limit]
     parents: dict[str, set[str]] = {}
     many: set[str] = set()
     columns: dict[str, list[str]] = {}
@@ -114,15 +124,17 @@ def schema_graph(events: DataFrame, json: str = "typed_event_json", limit: int =
         return False
 
     tables = {ROOT} | many | {n for n, above in parents.items() if len(above) > 1 or recursive(n)}
-    return SchemaGraph(frozenset(tables), frozenset(set(parents) - tables), columns)
+    return SchemaGraph(frozenset(tables), frozenset(set(parents) - tables), columns, whole)
 
 
-def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json", only: list[str] | None = None) -> DataFrame:
+def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json", only: list[str] | None = None, carry: dict[str, list[str]] | None = None) -> DataFrame:
     """All rows of all tables, in the columns of ``ROW_SCHEMA``.
 
     A cell is one letter for its JSON type (s text, n number, b boolean, z
     null, l array of scalars as JSON) and the value. ``only`` names the leaf
-    fields that are wanted; rows without any of them aren't sent on. Texts
+    fields that are wanted; rows without any of them aren't sent on. ``carry``
+    names JSON pointers whose cells the rows of a table shall hold even if they
+    lead through objects with a table of their own. Texts
     that aren't one JSON value as a whole give no rows; an array as the whole
     text gives a root row for each object in it. Repeated events give equal
     rows.
@@ -131,6 +143,7 @@ def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json",
 
     tables, inlined = graph.tables, graph.inlined
     wanted = None if only is None else frozenset(only)
+    carried = {t: [(c, _parts(c)) for c in paths if graph.crosses(c)] for t, paths in (carry or {}).items()}
     names = [c.split(" ")[0] for c in ROW_SCHEMA.split(", ")]
 
     def cell(v: object) -> str:
@@ -189,6 +202,19 @@ def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json",
                             elif wanted is None or k in wanted:
                                 keys.append(prefix + pointer(k))
                                 items.append(cell(v))
+                    for path, parts in carried.get(table, ()):
+                        v: object = node
+                        for k in parts:
+                            if type(v) is not dict or k not in v:
+                                break
+                            v = v[k]
+                        else:
+                            if type(v) is list and (not v or any(type(x) not in (dict, list) for x in v)):
+                                keys.append(path)
+                                items.append("l" + codec.dumps([x for x in v if type(x) not in (dict, list)]))
+                            elif type(v) not in (dict, list):
+                                keys.append(path)
+                                items.append(cell(v))
                     if wanted is not None and len(keys) == before:
                         continue
                     for col, v in zip(out, (event, table, mine, above, above_no, name, place)):
@@ -201,12 +227,23 @@ def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json",
     return events.select("event_id", json).mapInArrow(work, ROW_SCHEMA)
 
 
-def flat_table(rows: DataFrame, graph: SchemaGraph, name: str, columns: list[str] | None = None) -> DataFrame:
-    """One table: links and a text column for each cell; JSON pointers name the columns, with '.' for '/'."""
+def flat_table(rows: DataFrame, graph: SchemaGraph, name: str, columns: list[str] | None = None, carried: bool = False) -> DataFrame:
+    """One table: links and a text column for each cell; JSON pointers name the columns, with '.' for '/'.
+
+    Without ``columns`` those of the graph, and ``other_cells`` with the cells
+    of the row that these don't show, as in ``shred``. A column that leads
+    through objects with a table of their own isn't in these rows: that is an
+    error unless the rows were shredded with it in ``carry`` (``carried``).
+    """
     wanted = columns if columns is not None else graph.columns.get(name, [])
+    if columns is not None and not carried:
+        away = [c for c in columns if graph.crosses(c) and (not graph.whole or graph.tables & set(_parts(c)[:-1]))]
+        if away:
+            raise ValueError(f"columns {away} aren't inlined in table {name}: shred with carry")
     cell = lambda c: F.when(F.col("cells")[c].startswith("z"), None).otherwise(F.substr(F.col("cells")[c], F.lit(2)))
     links = ["event_id", "row_no", "parent_table", "parent_row_no", "field", "place"]
-    return rows.where(F.col("table_name") == name).select(*links, *[cell(c).alias(c.replace("/", ".")) for c in wanted])
+    rest = [F.map_filter("cells", lambda k, _: ~k.isin(wanted)).alias("other_cells")] if columns is None else []
+    return rows.where(F.col("table_name") == name).select(*links, *[cell(c).alias(c.replace("/", ".")) for c in wanted], *rest)
 
 
 def participations(rows: DataFrame) -> DataFrame:

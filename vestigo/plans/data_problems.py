@@ -134,5 +134,14 @@ def p6_table_rows(spark: SparkSession, folder: str) -> DataFrame:
 def p6_event_table(spark: SparkSession, folder: str) -> DataFrame:
     events = spread(table(spark, folder, "typed_events"))
     graph = nested_tables.schema_graph(events)
-    rows = nested_tables.shred(events, graph)
-    return nested_tables.flat_table(rows, graph, nested_tables.ROOT, ["semantic_class", "metric", "value_milli", "ocsf/status", "ocsf/time", "header/source_id"])
+    columns = ["semantic_class", "metric", "value_milli", "ocsf/status", "ocsf/time", "header/source_id"]
+    rows = nested_tables.shred(events, graph, carry={nested_tables.ROOT: columns})
+    return nested_tables.flat_table(rows, graph, nested_tables.ROOT, columns, carried=True)
+
+
+@REGISTRY.query("p6_rows")
+def p6_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of all tables with their links; cells as one JSON object, JSON pointer to typed text (see ``shred``)."""
+    events = spread(table(spark, folder, "typed_events"))
+    rows = nested_tables.shred(events, nested_tables.schema_graph(events))
+    return rows.withColumn("cells", F.to_json("cells"))
