@@ -84,3 +84,13 @@ def test_unit_counts_cover_every_doc_type(spark, tmp_path):
     want = (len(spans), max(e - s for s, e in spans))
     got = REGISTRY.fns["p9_unit_counts"](spark, str(tmp_path)).collect()
     assert {r.doc_id: (r.units, r.longest_unit) for r in got} == dict.fromkeys(range(len(kinds)), want) and want[0] == 3
+
+
+def test_long_quotations_hold_together():
+    inside = "We lost the export and nobody knew why. " * 30
+    text = f"The note said “{inside.strip()}” and then it stopped. The end came."
+    assert [text[a:b] for a, b in sentence_spans(text)] == [text[: -len(" The end came.")], "The end came."]
+    text = f"It failed ({inside.strip()}) once more. Fine."
+    assert [text[a:b] for a, b in sentence_spans(text)][-1] == "Fine." and len(sentence_spans(text)) == 2
+    deep = "(" * 20_000 + "a. B" + ")" * 20_000 + " c. " + "“ x. Y" * 20_000
+    assert sentence_spans(deep)[-1][1] == len(deep)

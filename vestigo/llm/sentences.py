@@ -47,8 +47,8 @@ FULL_MARKS = "。！？．｡"
 CLOSERS = "\"'”’»›“‘)]}」』）】〉》］"
 QUOTE_PAIRS = {"“": "”", "„": "“”", "‚": "‘’", "«": "»", "‹": "›", "「": "」", "『": "』", "(": ")", "[": "]", "（": "）", "【": "】", "《": "》", "»": "«"}
 OPENERS = "“„‚«‹「『([（【《¿¡"
-#: Longest stretch, in characters, that a pair of quotes or brackets can hold together.
-PAIR_REACH = 600
+#: Opening characters by the closing ones.
+CLOSES = {c: "".join(o for o, ends in QUOTE_PAIRS.items() if c in ends) for ends in QUOTE_PAIRS.values() for c in ends}
 #: A score no span term can outweigh.
 FIXED = 4.0
 
@@ -74,21 +74,19 @@ def _bare(word: str) -> str:
 
 
 def _pairs(text: str, start: int, end: int) -> tuple[list[tuple[int, int]], dict[int, int]]:
-    """Matched quotes and brackets as (open, close), and close -> open."""
+    """Matched quotes and brackets as (open, close), and close -> open; however far apart, each character is put and taken once."""
     stack: list[tuple[int, str]] = []
+    places: dict[str, list[int]] = {c: [] for c in QUOTE_PAIRS}  # in the stack, by character
     found: list[tuple[int, int]] = []
     for m in _PAIR_CHARS.finditer(text, start, end):
         c, at = m[0], m.start()
-        for k in range(len(stack) - 1, -1, -1):
-            if at - stack[k][0] > PAIR_REACH:
-                break
-            if c in QUOTE_PAIRS[stack[k][1]]:
-                found.append((stack[k][0], at))
-                del stack[k:]
-                break
-        else:
-            k = -1
-        if (not found or found[-1][1] != at) and c in QUOTE_PAIRS and c != "»":
+        k = max((places[o][-1] for o in CLOSES.get(c, "") if places[o]), default=-1)
+        if k >= 0:
+            found.append((stack[k][0], at))
+            while len(stack) > k:
+                places[stack.pop()[1]].pop()
+        elif c in QUOTE_PAIRS and c != "»":
+            places[c].append(len(stack))
             stack.append((at, c))
     return found, {b: a for a, b in found}
 
@@ -263,7 +261,7 @@ def _units(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
     if any("฀" <= c <= "๿" for c in text[start:end]):
         marks += [(m.start(), None, m.end()) for m in _THAI_BLANK.finditer(text, first, end)]
         marks.sort(key=lambda x: x[0])
-    active: list[tuple[int, int]] = []
+    reach = -1
     floor = first
     for at, m, stop in marks:
         if m is None:
@@ -294,10 +292,9 @@ def _units(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
         while follow < end and text[follow].isspace():
             follow += 1
         while p < len(inner) and inner[p][0] < at:
-            active.append(inner[p])
+            reach = max(reach, inner[p][1])
             p += 1
-        active = [x for x in active if x[1] >= stop]
-        if active:
+        if reach >= stop:
             continue  # within a quotation or bracket that is closed later
         score = _close_score(text, floor, at, cut, stop, follow, end)
         if score >= FIXED and final < 0:
