@@ -4,7 +4,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from vestigo.llm import hnsw
-from vestigo.llm.neighbours import _decode, _encode, most_similar, mutual_pairs
+from vestigo.llm import neighbours as nb
+from vestigo.llm.neighbours import _decode, _encode, draw_map, most_similar, mutual_pairs
 
 SCHEMA = "vector_ordinal long, document_id string, vector array<float>, similarity string"
 
@@ -15,23 +16,30 @@ def _clustered(n, d, seed):
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
-def test_graph_recall_and_flat_links():
-    both = _clustered(3_300, 32, 1)
-    x, q = both[:3_000], both[3_000:]
-    g = hnsw.build(x, np.random.default_rng(2).random(len(x)), 10)
-    assert g.links.dtype == np.int32 and g.links.shape == (3_000, hnsw.WIDTH)
-    true = np.argsort(-(q @ x.T), axis=1)[:, :10]
-    ids, sims = hnsw.search(g, q, 10, beam=64)
-    assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(ids, true)]) > 0.9
+def _recall(found, true):
+    return np.mean([len({i for i in a if i >= 0} & set(b)) / len(b) for a, b in zip(found, true)])
+
+
+def test_graph_recall_and_flat_levels():
+    both = _clustered(5_300, 32, 1)
+    x, q = both[:5_000], both[5_000:]
+    g = hnsw.build(x, np.random.default_rng(2).random(len(x)))
+    assert len(g.sizes) == 3 and g.sizes[0] == 5_000 > g.sizes[1] > g.sizes[2]
+    assert all(a.dtype == np.int32 and a.shape == (n, hnsw.WIDTH) and a.max() < n for a, n in zip(g.links, g.sizes))
+    ids, sims = hnsw.search(g, q, 10, beam=96)
+    assert _recall(ids, np.argsort(-(q @ x.T), axis=1)[:, :10]) > 0.9
     assert (np.diff(sims, axis=1) <= 1e-6).all() and all(len(set(r)) == 10 for r in ids)
-    own = np.argsort(-(x @ x.T - 5 * np.eye(len(x))), axis=1)[:, :10]
-    assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(g.near_ids, own)]) > 0.999
+    node = np.empty(len(x), np.int64)
+    node[g.order] = np.arange(len(x))
+    ids, _ = hnsw.search(g, x[:500], 11, beam=64, own=node[:500])
+    true = np.argsort(-(x[:500] @ x.T), axis=1)[:, :11]
+    assert (true[:, 0] == np.arange(500)).all() and _recall(ids, true) > 0.93
 
 
 def test_small_graphs():
     for n in (0, 1, 2, 5):
         x = _clustered(n, 8, 4) if n else np.zeros((0, 8), np.float32)
-        g = hnsw.build(x, np.full(n, 0.5), 3)
+        g = hnsw.build(x, np.full(n, 0.5))
         ids, _ = hnsw.search(g, _clustered(4, 8, 5), 3)
         assert ids.shape == (4, 3) and all(len({i for i in r if i >= 0}) == min(n, 3) for r in ids)
 
@@ -40,7 +48,7 @@ def test_fixed_point_error():
     import pyarrow as pa
 
     x = _clustered(500, 96, 6)
-    y = _decode(pa.chunked_array([pa.array(_encode(x), pa.binary())]), 96)
+    y = _decode(pa.chunked_array([_encode(x)]), 96)
     assert np.abs((x * y).sum(axis=1) - 1).max() < 1e-5
 
 
@@ -82,3 +90,46 @@ def test_a_third_of_all_rows_share_a_vector(spark):
     assert len(got) == 200
     for k, v in got.items():
         assert [b for _, b in sorted(v)] == [f"c{i:03d}" for i in range(12) if f"c{i:03d}" != k][:10]
+
+
+def _lattice(n, seed):
+    """20 plain clusters and one that holds 30 % of the vectors, on surfaces of 12 dimensions in 48."""
+    rng = np.random.default_rng(seed)
+    at = np.where(rng.random(n) < 0.3, 0, rng.integers(1, 21, n))
+    basis = rng.normal(size=(21, 12, 48)) / 7
+    x = rng.normal(size=(21, 48))[at] + np.einsum("ni,nij->nj", rng.normal(size=(n, 12)), basis[at]) + 0.02 * rng.normal(size=(n, 48))
+    return x / np.linalg.norm(x, axis=1, keepdims=True), at
+
+
+def test_recall_when_few_shards_are_asked(spark):
+    """12,000 vectors, 30 % of them in one cluster, about 20 shards, of which a query asks 6."""
+    x, at = _lattice(12_000, 9)
+    plan = draw_map(x[::2].astype(np.float32), np.ones(6_000, bool), len(x), home=700, probes=6)
+    held = np.bincount(np.argmax(x @ plan.centroids.T, axis=1), minlength=len(plan.centroids))
+    assert len(held) >= 16 and plan.probes == 6 and held.max() <= 1.7 * 700
+    df = spark.createDataFrame([(i, f"d{i:05d}", [float(v) for v in x[i]], "") for i in range(len(x))], SCHEMA)
+    found = most_similar(df, dimensions=48, queries=F.col("vector_ordinal") % 20 == 0, home=700, probes=6).collect()
+    got = {}
+    for r in found:
+        got.setdefault(int(r.document_id_a[1:]), set()).add(int(r.document_id_b[1:]))
+    assert set(got) == set(range(0, 12_000, 20)) and all(len(v) == 10 for v in got.values())
+    s = x[::20] @ x.T
+    s[np.arange(len(s)), np.arange(0, 12_000, 20)] = -9
+    true = np.argsort(-s, axis=1)[:, :10]
+    for rows in (np.arange(600), np.flatnonzero(at[::20] == 0)):  # all queries, and those of the crowded cluster
+        assert len(rows) > 100 and _recall([got[20 * i] for i in rows], true[rows]) >= 0.9
+
+
+def test_parts_and_copies_change_nothing_but_the_layout(spark, monkeypatch):
+    """Territories in parts that are all asked, and shards in several copies: each pair once, recall as before."""
+    x, _ = _lattice(3_000, 10)
+    df = spark.createDataFrame([(i, f"d{i:05d}", [float(v) for v in x[i]], "") for i in range(len(x))], SCHEMA)
+    monkeypatch.setattr(nb, "MAX_TERRITORIES", 2)
+    monkeypatch.setattr(nb, "MAX_HOME", 400)
+    monkeypatch.setattr(nb, "ASKED", 1)
+    found = most_similar(df, dimensions=48, home=300, probes=3).collect()
+    pairs = {(r.document_id_a, r.document_id_b) for r in found}
+    assert len(pairs) == len(found) == 30_000
+    s = x @ x.T - 9 * np.eye(len(x))
+    true = {(f"d{i:05d}", f"d{j:05d}") for i, row in enumerate(np.argsort(-s, axis=1)[:, :10]) for j in row}
+    assert len(true & pairs) >= 0.9 * len(true)
