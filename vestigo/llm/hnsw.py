@@ -21,14 +21,14 @@ from dataclasses import dataclass
 
 import numpy as np
 
-#: Links of a node, candidates they are chosen from, beam of an insertion.
+#: Links of a node unless told otherwise, candidates they are chosen from, beam of an insertion.
 WIDTH, CANDIDATES, INSERT_BEAM = 24, 24, 32
 #: One node in so many reaches the next level.
 LEVEL_SHARE = 16
 #: Nodes that are compared as a whole: the first of a level, and a top level up to this size.
 SMALL = 64
-#: Beam of the upper levels, and how many of its nodes the next level starts from.
-UPPER_BEAM, ENTRIES = 48, 24
+#: Beam of the upper levels, or that of the ground level if it is smaller; half of its nodes are where the next level starts.
+UPPER_BEAM = 48
 #: Candidates whose own candidates are compared.
 HOP = 10
 
@@ -108,8 +108,8 @@ def _both_ways(links: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _link(x: np.ndarray, near: np.ndarray) -> np.ndarray:
-    return _both_ways(_diverse(x, _nodes(near), _sims(near), WIDTH // 2), WIDTH)
+def _link(x: np.ndarray, near: np.ndarray, width: int) -> np.ndarray:
+    return _both_ways(_diverse(x, _nodes(near), _sims(near), width // 2), width)
 
 
 def _note(near: np.ndarray, rows: np.ndarray, keys: np.ndarray) -> None:
@@ -156,7 +156,7 @@ def _hop(x: np.ndarray, near: np.ndarray, lo: int, hi: int, block: int = 256) ->
         near[rows] = both[:, : near.shape[1]]
 
 
-def build(x: np.ndarray, draw: np.ndarray, beam: int = INSERT_BEAM) -> Graph:
+def build(x: np.ndarray, draw: np.ndarray, beam: int = INSERT_BEAM, width: int = WIDTH) -> Graph:
     """The graph of unit vectors; ``draw`` holds a uniform number for each that sets its level and its turn."""
     n = len(x)
     order = np.argsort(draw, kind="stable")
@@ -166,7 +166,7 @@ def build(x: np.ndarray, draw: np.ndarray, beam: int = INSERT_BEAM) -> Graph:
         sizes.append(max(1, int(np.searchsorted(draw[order], 1.0 / LEVEL_SHARE ** len(sizes)))))
         if sizes[-1] >= sizes[-2]:
             sizes[-1] = max(1, sizes[-2] // LEVEL_SHARE)
-    g = Graph(x, order.astype(np.int64), sizes, [np.zeros((0, WIDTH), np.int32)] * len(sizes), np.zeros((0, CANDIDATES), np.int64))
+    g = Graph(x, order.astype(np.int64), sizes, [np.zeros((0, width), np.int32)] * len(sizes), np.zeros((0, CANDIDATES), np.int64))
     for level in range(len(sizes) - 1, -1, -1):
         size = sizes[level]
         near = np.full((size, CANDIDATES), _NONE, np.int64)
@@ -175,7 +175,7 @@ def build(x: np.ndarray, draw: np.ndarray, beam: int = INSERT_BEAM) -> Graph:
         _note(near, rows, _pack((x[:a] @ x[:a].T)[rows, cols], cols))
         while a < size:
             b = min(size, a + max(SMALL, a // 2))
-            g.links[level] = _link(x, near[:a])
+            g.links[level] = _link(x, near[:a], width)
             for lo in range(a, b, 256):
                 rows = np.arange(lo, min(b, lo + 256))
                 found = _descend(g, x[rows], beam, level, a)[:, :CANDIDATES]
@@ -187,7 +187,7 @@ def build(x: np.ndarray, draw: np.ndarray, beam: int = INSERT_BEAM) -> Graph:
             a = b
         if size > SMALL:
             _hop(x, near, 0, size)
-        g.links[level] = _link(x, near)
+        g.links[level] = _link(x, near, width)
     g.near = near
     return g
 
@@ -220,20 +220,20 @@ def search(g: Graph, q: np.ndarray, k: int, beam: int = 48, own: np.ndarray | No
 def _descend(g: Graph, q: np.ndarray, beam: int, ground: int = 0, among: int | None = None) -> np.ndarray:
     """Sorted beams of packed entries at level ``ground``, of whose nodes the first ``among`` are linked yet."""
     top = len(g.sizes) - 1
-    entries = ENTRIES
+    upper = min(UPPER_BEAM, beam)
     n = g.sizes[top] if top > ground or among is None else among
     n = min(n, SMALL)
     keys = np.sort(_pack(q @ g.vectors[:n].T, np.broadcast_to(np.arange(n), (len(q), n))), axis=1)
     for level in range(top - 1 if top > ground else ground, ground - 1, -1):
         last = level == ground
-        first = keys[:, :entries] & ~np.int64(1)
+        first = keys[:, : upper // 2] & ~np.int64(1)
         if last and among is not None and among < g.sizes[min(level + 1, top)]:
             first = np.where((first < _NONE) & (((first & _LOW) >> 1) < among), first, _NONE | 1)
             lost = (first >= _NONE).all(axis=1)
             if lost.any():
                 first[lost, 0] = _pack(q[lost] @ g.vectors[0], np.zeros(int(lost.sum()), np.int64))
             first.sort(axis=1)
-        keys = _beam(g.vectors, g.links[level], q, beam if last else UPPER_BEAM, first)
+        keys = _beam(g.vectors, g.links[level], q, beam if last else upper, first)
     return keys[:, :beam]
 
 
