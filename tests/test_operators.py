@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from vestigo.functions import text as tx
 from vestigo.functions.field_classes import classify, snake
-from vestigo.functions.projection import command_focus, projector, time_text
+from vestigo.functions.commands import command_event, decoded_script
+from vestigo.functions.projection import projector, time_text
 from vestigo.operators import audit, dense, derive, eligibility, evaluate, geometry, lexical, ranking, sampling
 from vestigo.plans import prepare, search
 from vestigo.sources import sinks, snapshots
@@ -102,14 +103,31 @@ def test_whole_texts_are_sanitized(spark, tmp_path):
     assert max(len(t) for t in got.values() if t) > 400 and not any("josé@" in t for t in got.values() if t)
 
 
-def test_command_focus():
-    assert command_focus("ocsf_process_activity", {"ocsf": {"process": {"cmd_line": "ls"}}})["source_kind"] == "typed_process_command"
+def test_command_event():
+    assert command_event("ocsf_process_activity", {"ocsf": {"process": {"cmd_line": "ls"}}})["source_kind"] == "typed_process_command"
     sysmon = {"ocsf": {"unmapped": {"E/Data/@Name": ["Image", "commandline"], "E/Data/#text": ["x", "whoami"]}}}
-    assert command_focus("ocsf_process_activity", sysmon)["command"] == "whoami"
-    assert command_focus("ocsf_process_activity", {"ocsf": {"unmapped": {"$token/10": "c", "$token/2": "b", "$token/1": "a"}}})["command"] == "a b c"
-    assert command_focus("ocsf_event_log_activity", {"event_id": "4104", "ocsf": {"message": "m"}})["script"] == "m"
-    assert command_focus("ocsf_api_activity", {"operation": "Put", "ocsf": {"status": "ok"}})["status"] == "ok"
-    assert command_focus("ocsf_dns_activity", {}) is None and command_focus("ocsf_process_activity", {}) is None
+    assert command_event("ocsf_process_activity", sysmon)["command"] == "whoami"
+    assert command_event("ocsf_process_activity", {"ocsf": {"unmapped": {"$token/10": "c", "$token/2": "b", "$token/1": "a"}}})["command"] == "a b c"
+    assert command_event("ocsf_event_log_activity", {"event_id": "4104", "ocsf": {"message": "m"}})["script"] == "m"
+    assert command_event("ocsf_api_activity", {"operation": "Put", "ocsf": {"status": "ok"}})["status"] == "ok"
+    assert command_event("ocsf_dns_activity", {}) is None and command_event("ocsf_process_activity", {}) is None and command_event(None, {}) is None
+    assert command_event("ocsf_event_log_activity", {"event_id": "4105", "ocsf": {"message": "m"}}) is None
+    whole = {"operation": "Put", "service": 3, "time": 7, "ocsf": {"time": 9, "api": {"operation": "Get", "service": {"name": "s3"}}, "unmapped": {"requestParameters": {"a": 1}}}}
+    assert command_event("ocsf_api_activity", whole) == {"action": "Put", "source_kind": "normalized_api_operation", "service": "s3", "request_parameters": {"a": 1}, "time": 9}
+    assert command_event("ocsf_api_activity", whole | {"operation": None}) is None
+
+
+def test_encoded_commands_are_decoded():
+    import base64
+
+    coded = lambda b: base64.b64encode(b).decode()
+    text = f"powershell -EncodedCommand '{coded('Get-Item é'.encode('utf-16-le'))}'"
+    assert decoded_script(text) == "Get-Item é"
+    assert command_event("ocsf_process_activity", {"command_line": text})["decoded_script"] == "Get-Item é"
+    assert decoded_script(f"x -enc {coded(b'whoami /a')}") == "whoami /a"  # an odd number of bytes
+    assert decoded_script("x -enc AAAA") is None and decoded_script("x -enc !!!!!!!!!") is None and decoded_script("plain") is None
+    assert decoded_script(f"x -enc {coded(bytes([0xff, 0xfe, 0xff]) * 3)}") is None
+    assert "decoded_script" not in command_event("ocsf_process_activity", {"command_line": "ls -l"})
 
 
 def test_prepare_closes(spark):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vestigo.functions.commands import ENCODED, ENCODED_CHARS
+
 
 def tokens_camel(text: Column) -> Column:
     """Lower-case runs of ASCII letters, digits and underscores; a new token before an ASCII capital that follows an ASCII small letter."""
@@ -110,16 +112,10 @@ def epoch_seconds(value: Column) -> Column:
     )
 
 
-def strict_event_ms(kind: Column, text: Column) -> Column:
-    """Milliseconds for the derivations: whole numbers not below 0 are milliseconds, texts need a zone; else null."""
-    zoned = text.rlike(r"^\d{4}-\d\d-\d\d[T ].*(Z|[+-]\d\d:?\d\d)$")
-    return F.when(kind == "number", F.when(text.rlike(r"^\d{1,18}$"), text.cast("long"))).when(zoned, F.unix_millis(F.try_to_timestamp(text)))
-
-
 def decode_script(command: Column) -> Column:
-    """The text behind an -enc / -EncodedCommand argument: UTF-16LE if that gives clean text, else UTF-8; null if there is none."""
-    coded = F.regexp_extract(command, r"(?i)(?:-enc|-encodedcommand)\s+[\"']?([A-Za-z0-9+/=]{8,})", 1)
-    raw = F.when((coded != "") & (F.length(coded) <= 65_536), F.try_to_binary(coded, F.lit("base64")))
+    """The column twin of ``commands.decoded_script``."""
+    coded = F.regexp_extract(command, ENCODED.pattern, 1)
+    raw = F.when((coded != "") & (F.length(coded) <= ENCODED_CHARS), F.try_to_binary(coded, F.lit("base64")))
     wide = F.when(F.octet_length(raw) % 2 == 0, F.try_validate_utf8(F.decode(raw, "UTF-16LE")))
     clean = wide.isNotNull() & ~wide.rlike(r"[\x00-\x08\x0e-\x1f\x7f-\x9f�]")
     return F.when(clean, wide).otherwise(F.when(F.is_valid_utf8(raw), F.decode(raw, "UTF-8")))

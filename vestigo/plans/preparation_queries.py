@@ -16,28 +16,28 @@ from vestigo.sources.tables import relation_key, spread, table
 REGISTRY = Registry()
 
 
-def _projected(spark: SparkSession, folder: str, **how: bool) -> DataFrame:
-    return prepare.project_events(spread(table(spark, folder, "typed_events")), **how)
+def _projected(spark: SparkSession, folder: str, *parts: str, commands: bool = False) -> DataFrame:
+    return prepare.project_events(spread(table(spark, folder, "typed_events")), parts, commands)
 
 
 @REGISTRY.query("event_projection")
 def event_projection(spark: SparkSession, folder: str) -> DataFrame:
-    return _projected(spark, folder)
+    return _projected(spark, folder, "text", "time", "attributes")
 
 
 @REGISTRY.query("prepared_documents")
 def prepared_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.group_documents(_projected(spark, folder, with_attributes=False))
+    return prepare.group_documents(_projected(spark, folder, "text"))
 
 
 @REGISTRY.query("prepared_occurrences")
 def prepared_occurrences(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.occurrence_rows(_projected(spark, folder))
+    return prepare.occurrence_rows(_projected(spark, folder, "text", "time", "attributes"))
 
 
 @REGISTRY.query("command_projection")
 def command_projection(spark: SparkSession, folder: str) -> DataFrame:
-    return _projected(spark, folder, with_attributes=False, commands=True).select("event_id", "relation_name", "document_id", "semantic_text", "event_time")
+    return _projected(spark, folder, "text", "time", commands=True).select("event_id", "relation_name", "document_id", "semantic_text", "event_time", "disposition_reason")
 
 
 _OK = "json_valid(typed_event_json) AND json_type(CASE WHEN json_valid(typed_event_json) THEN typed_event_json ELSE 'null' END::JSON) = 'OBJECT'"
@@ -52,7 +52,7 @@ _REASON = f"""CASE WHEN typed_event_json IS NULL OR NOT ({_OK}) THEN 'typed_even
     FROM (SELECT {_REASON} AS reason FROM typed_events) GROUP BY 1, 2""",
 )
 def projection_coverage(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.coverage(_projected(spark, folder, with_attributes=False))
+    return prepare.coverage(_projected(spark, folder))
 
 
 @REGISTRY.query(
@@ -61,17 +61,17 @@ def projection_coverage(spark: SparkSession, folder: str) -> DataFrame:
     count(*) FILTER (reason != 'projected_by_generic_typed_field_policy') AS structured_only_rows FROM (SELECT relation_name, {_REASON} AS reason FROM typed_events) GROUP BY 1""",
 )
 def census(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.census(_projected(spark, folder, with_attributes=False)).drop("documents")
+    return prepare.census(_projected(spark, folder), documents=False)
 
 
 @REGISTRY.query("census_documents")
 def census_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.census(_projected(spark, folder, with_attributes=False))
+    return prepare.census(_projected(spark, folder, "text"))
 
 
 @REGISTRY.query("time_availability")
 def time_availability(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.time_accounting(_projected(spark, folder, with_attributes=False))
+    return prepare.time_accounting(_projected(spark, folder, "time"))
 
 
 @REGISTRY.query(

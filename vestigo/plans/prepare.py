@@ -3,43 +3,47 @@
 from __future__ import annotations
 
 import json as codec
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vestigo.functions.jsons import REFUSED, json_reader
-from vestigo.functions.projection import OUTPUT, command_focus, projector
+from vestigo.functions.commands import COMMAND_REASON, command_event
+from vestigo.functions.projection import DIRECT, OUTPUT, PARTS, projector
 from vestigo.sources.tables import relation_key
 
 _ARROW = {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}
 _FIELDS = [tuple(c.split(" ")) for c in OUTPUT.split(", ")]
 
 
-def project_events(events: DataFrame, with_attributes: bool = True, commands: bool = False, make: Callable[..., Callable] = projector) -> DataFrame:
+def project_events(events: DataFrame, parts: Iterable[str] = PARTS, commands: bool = False, make: Callable[..., Callable] = projector) -> DataFrame:
     """One row of ``projection.OUTPUT`` per event row, in Arrow batches; no row is ever lost.
 
-    ``commands``: project only what an event ran, called or executed; events
-    without any command don't come out. ``make`` is the projector's factory,
-    so another projector can be plugged in.
+    ``parts`` says what is worked out ('text', 'time', 'attributes'); the
+    columns of the others are empty. ``commands``: project only what an event
+    ran, called or executed; events without any command don't come out.
+    ``make`` is the projector's factory, so another projector can be plugged in.
     """
+    parts = frozenset(parts)
+    reason_at = [n for n, _ in _FIELDS].index("disposition_reason")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        project, read = make(with_attributes), json_reader()
+        project, read = make(parts), json_reader()
         for b in batches:
             rows = []
             for event_id, relation, text in zip(*[b.column(i).to_pylist() for i in range(3)]):
-                if commands:
-                    event = read(text)
-                    focus = command_focus(relation, event) if event is not REFUSED and isinstance(event, dict) else None
-                    if focus is None:
-                        continue
-                    at = event.get("ocsf") if isinstance(event.get("ocsf"), dict) else event
-                    if "time" in at or "time" in event:
-                        focus["time"] = at.get("time", event.get("time"))
-                    text = codec.dumps(focus)
-                rows.append(project(relation, event_id, text))
+                if not commands:
+                    rows.append(project(relation, event_id, text))
+                    continue
+                event = read(text)
+                focus = command_event(relation, event) if event is not REFUSED and isinstance(event, dict) else None
+                if focus is not None:
+                    row = list(project(relation, event_id, codec.dumps(focus)))
+                    if row[reason_at - 1] == DIRECT:
+                        row[reason_at] = COMMAND_REASON
+                    rows.append(row)
             cols = list(zip(*rows)) if rows else [()] * len(_FIELDS)
             yield pa.RecordBatch.from_arrays([pa.array(c, _ARROW[k]) for c, (_, k) in zip(cols, _FIELDS)], [n for n, _ in _FIELDS])
 
@@ -69,16 +73,16 @@ def occurrence_rows(projected: DataFrame, snapshot: str = "", mapping: str = "")
     return projected.select(key.alias("occurrence_id"), "event_id", "document_id", "relation_name", "event_time", "exact_attributes_json", F.lit(snapshot).alias("snapshot_sha256"), F.lit(mapping).alias("mapping_sha256"))
 
 
-def census(projected: DataFrame) -> DataFrame:
-    """Per relation: rows, direct and structured-only rows (they add up to the rows), and distinct documents."""
-    direct = F.col("document_id").isNotNull()
-    per = projected.groupBy(F.coalesce("relation_name", F.lit("")).alias("relation_name"), "document_id").agg(F.count("*").alias("n"))
-    return per.groupBy("relation_name").agg(
-        F.sum("n").alias("source_rows"),
-        F.coalesce(F.sum(F.when(direct, F.col("n"))), F.lit(0)).alias("semantic_rows"),
-        F.coalesce(F.sum(F.when(~direct, F.col("n"))), F.lit(0)).alias("structured_only_rows"),
-        F.count("document_id").alias("documents"),
-    )
+def census(projected: DataFrame, documents: bool = True) -> DataFrame:
+    """Per relation: rows, direct and structured-only rows (they add up to the rows), and distinct documents unless they aren't wanted."""
+    direct = F.col("disposition") == DIRECT
+    name = F.coalesce("relation_name", F.lit("")).alias("relation_name")
+    counts = {"source_rows": F.count("*"), "semantic_rows": F.count_if(direct), "structured_only_rows": F.count_if(~direct)}
+    if not documents:
+        return projected.groupBy(name).agg(*[c.alias(n) for n, c in counts.items()])
+    # equal documents are counted in each split before their rows move
+    per = projected.groupBy(name, "document_id").agg(*[c.alias(n) for n, c in counts.items()])
+    return per.groupBy("relation_name").agg(*[F.sum(n).alias(n) for n in counts], F.count("document_id").alias("documents"))
 
 
 def coverage(projected: DataFrame) -> DataFrame:
