@@ -159,15 +159,21 @@ def test_nested_tables_lose_nothing(spark):
     texts = [json.dumps(e) for e in EVENTS] + [None, "", "{", '{"a":{"entity_id":"cut"}', "null"]
     df = spark.createDataFrame([(str(i), t, 1) for i, t in enumerate(texts)] * 2, "event_id string, typed_event_json string, row_no int")
     want = {(str(i), *p) for i, t in enumerate(texts) for p in _participations(t)}
-    for limit in (nt.MAX_EDGES, 3):
+    whole = None
+    for limit in (nt.DRIVER_EDGES, 3):  # a graph on the driver and one on the cluster
         graph = nt.schema_graph(df, limit=limit)
+        assert (graph.known is None) == (limit == 3)
+        assert {r.name: r.is_table for r in graph.elements.collect()} == nt.schema_graph(df).known
+        assert all(graph.columns(n) == nt.schema_graph(df).columns(n) for n in ("$", "self", "deep"))
         rows = nt.shred(df, graph)
         got = {(r.event_id, r.entity_id, r.role) for r in nt.participations(rows).collect()}
         assert got == want
         links = rows.collect()
+        whole = whole or sorted(map(str, links))
+        assert sorted(map(str, links)) == whole
         known = {(r.event_id, r.row_no) for r in links}
         assert all(r.parent_row_no is None or (r.event_id, r.parent_row_no) in known for r in links)
-    assert "self" in nt.schema_graph(df).tables and "list" in nt.schema_graph(df).tables and "p" in nt.schema_graph(df).inlined
+    assert nt.schema_graph(df).is_table({"self", "list", "p", "none"}) == {"self": True, "list": True, "p": False}
     held = spark.createDataFrame([(e, i, r, None) for e, i, r in sorted(want)[1:]] + [("0", None, "b", None)], "event_id string, entity_id string, role string, support_ref string")
     assert {tuple(r) for r in nt.missing_participants(df, held).collect()} == {sorted(want)[0]}
     assert nt.missing_participants(df.limit(0), held).count() == 0
@@ -211,12 +217,13 @@ def test_flat_cells_through_child_tables(spark, tmp_path):
     assert [rows["e0"][c] for c in ("ocsf.status", "ocsf.time", "header.source_id", "metric")] == ["ok", "5", "s1", "m"]
     assert [rows["e1"][c] for c in ("ocsf.status", "ocsf.time", "header.source_id", "metric")] == [None] * 4
     graph = nt.schema_graph(df)
-    assert {"header", "ocsf"} <= graph.tables
+    assert graph.is_table({"header", "ocsf"}) == {"header": True, "ocsf": True}
     with pytest.raises(ValueError, match="ocsf/status"):
         nt.flat_table(nt.shred(df, graph), graph, nt.ROOT, ["metric", "ocsf/status"])
     got = [(r.event_id, r.table_name, r.parent_table, r.parent_row_no, r.field, r.place, json.loads(r.cells)) for r in REGISTRY.fns["p6_rows"](spark, str(tmp_path)).collect()]
     assert ("e0", "ocsf", "$", 0, "ocsf", "", {"status": "sok", "time": "n5"}) in got
     assert ("e1", "header", "$", 0, "header", "0", {"source_id": "ss2"}) in got and len(got) == 6
-    capped = nt.schema_graph(df, limit=1)
-    held = sorted(str(v) for t in (nt.ROOT, nt.OTHER) for r in nt.flat_table(nt.shred(df, capped), capped, t).collect() for v in [*list(r)[6:-1], *r.other_cells.values()] if v is not None)
-    assert not capped.whole and len(held) == 6
+    with pytest.raises(ValueError, match="ocsf/status"):
+        nt.flat_table(nt.shred(df, graph), nt.schema_graph(df, limit=1), nt.ROOT, ["metric", "ocsf/status"])
+    few = nt.schema_graph(df, limit=1)
+    assert few.known is None and few.columns("ocsf") == ["status", "time"] and few.columns("ocsf", 1) == ["status"]

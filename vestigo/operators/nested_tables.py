@@ -2,9 +2,10 @@
 
 First pass: the schema graph. Each split reports its edges (element, field);
 an element is named by the field its object stands in, directly or through
-arrays. Elements that are the root, repeated, shared by several parents or
-recursive get a table of their own; all others are singletons and are inlined
-into the row of their nearest ancestor with a table.
+arrays. Elements that are the root, repeated or shared by several parents get
+a table of their own; all others are singletons and are inlined into the row
+of their nearest ancestor with a table. A recursive element is reached from
+outside and from within, so on every cycle at least one element is shared.
 
 Second pass: every event becomes rows of these tables. A row knows its event,
 its own number in it, its parent's table and number, the field it stands in
@@ -21,11 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vestigo.functions.jsons import REFUSED, json_reader
+from vestigo.session import cut_lineage
 
 ROOT = "$"
-#: Most edges of the schema graph kept on the driver. Rarer elements beyond it keep their rows, in the table OTHER.
-MAX_EDGES = 20_000
-OTHER = "*"
+#: Edges of the schema graph that the driver reads. A larger graph stays on the cluster, and every event gets the names it needs from it by a join.
+DRIVER_EDGES = 20_000
+#: Cell columns that a flat table shows at most unless they are named; the others stay together in other_cells.
+FLAT_COLUMNS = 2_000
 
 ROW_SCHEMA = (
     "event_id string, table_name string, row_no int, parent_table string, parent_row_no int, "
@@ -35,16 +38,31 @@ ROW_SCHEMA = (
 
 @dataclass(frozen=True)
 class SchemaGraph:
-    """Elements with a table, singletons, and the scalar columns seen at each element; whether no edge was left out."""
+    """``edges`` has (parent, field, kind, splits), ``elements`` (name, is_table); of a small graph ``known`` has the elements and ``cells`` the scalar columns, most common first."""
 
-    tables: frozenset[str]
-    inlined: frozenset[str]
-    columns: dict[str, list[str]]
-    whole: bool = True
+    edges: DataFrame
+    elements: DataFrame
+    known: dict[str, bool] | None
+    cells: dict[str, list[str]] | None
 
-    def crosses(self, pointer: str) -> bool:
-        """Whether a JSON pointer within a row leads through an element that isn't inlined in it."""
-        return any(p not in self.inlined for p in _parts(pointer)[:-1])
+    def is_table(self, names: set[str]) -> dict[str, bool]:
+        """Those of the names that are elements, and whether they have a table."""
+        if self.known is not None:
+            return {n: self.known[n] for n in names if n in self.known}
+        return {r[0]: r[1] for r in self.elements.where(F.col("name").isin(sorted(names))).collect()} if names else {}
+
+    def crosses(self, pointer: str, unknown: bool = True) -> bool:
+        """Whether a JSON pointer within a row leads through an element that isn't inlined in it; ``unknown``: what an element counts as that no event has."""
+        through = set(_parts(pointer)[:-1])
+        kinds = self.is_table(through)
+        return any(kinds.get(p, unknown) for p in through)
+
+    def columns(self, name: str, most: int = FLAT_COLUMNS) -> list[str]:
+        """The scalar columns seen at an element itself, in order of name; of more than ``most`` the most common ones."""
+        if self.cells is not None:
+            return sorted(self.cells.get(name, [])[:most])
+        seen = self.edges.where((F.col("parent") == name) & F.col("kind").isin("cell", "list")).groupBy("field").agg(F.sum("splits").alias("n"))
+        return sorted(r[0] for r in seen.orderBy(F.desc("n"), "field").limit(most).collect())
 
 
 def _parts(pointer: str) -> list[str]:
@@ -93,38 +111,62 @@ def schema_edges(events: DataFrame, json: str = "typed_event_json") -> DataFrame
     return events.select(json).mapInArrow(scan, "parent string, field string, kind string").groupBy("parent", "field", "kind").agg(F.count("*").alias("splits"))
 
 
-def schema_graph(events: DataFrame, json: str = "typed_event_json", limit: int = MAX_EDGES) -> SchemaGraph:
-    """The graph of all events; with more than ``limit`` edges the most common ones."""
-    edges = schema_edges(events, json).orderBy(F.desc("splits"), "parent", "field", "kind").limit(limit + 1).collect()
-    whole, edges = len(edges) <= limit, edges[:limit]
-    parents: dict[str, set[str]] = {}
-    many: set[str] = set()
-    columns: dict[str, list[str]] = {}
-    for e in sorted(edges):
+def schema_graph(events: DataFrame, json: str = "typed_event_json", limit: int = DRIVER_EDGES) -> SchemaGraph:
+    """The graph of all events, whatever its size; one with more than ``limit`` edges is written to the shared folder and stays there."""
+    edges = schema_edges(events, json)
+    few = edges.limit(limit + 1).collect()
+    whole = len(few) <= limit
+    if whole:
+        edges = edges.sparkSession.createDataFrame(few, edges.schema)
+    else:
+        edges = cut_lineage(edges)
+    objects = edges.where(F.col("kind").isin("one", "many"))
+    # repeated, or below two different parents
+    kinds = objects.groupBy(F.col("field").alias("name")).agg((F.bool_or(F.col("kind") == "many") | (F.min("parent") != F.max("parent"))).alias("is_table"))
+    elements = kinds.where(F.col("name") != ROOT).unionByName(edges.sparkSession.range(1).select(F.lit(ROOT).alias("name"), F.lit(True).alias("is_table")))
+    if not whole:
+        return SchemaGraph(edges, elements, None, None)
+    above: dict[str, set[str]] = {}
+    many: set[str] = {ROOT}
+    cells: dict[str, dict[str, int]] = {}
+    for e in few:
         if e.kind in ("one", "many"):
-            parents.setdefault(e.field, set()).add(e.parent)
+            above.setdefault(e.field, set()).add(e.parent)
             if e.kind == "many":
                 many.add(e.field)
         else:
-            columns.setdefault(e.parent, []).append(e.field)
-    children: dict[str, list[str]] = {}
-    for child, above in parents.items():
-        for p in above:
-            children.setdefault(p, []).append(child)
-
-    def recursive(name: str) -> bool:
-        seen, todo = set(), list(children.get(name, []))
-        while todo:
-            x = todo.pop()
-            if x == name:
-                return True
-            if x not in seen:
-                seen.add(x)
-                todo.extend(children.get(x, []))
-        return False
-
-    tables = {ROOT} | many | {n for n, above in parents.items() if len(above) > 1 or recursive(n)}
-    return SchemaGraph(frozenset(tables), frozenset(set(parents) - tables), columns, whole)
+            held = cells.setdefault(e.parent, {})
+            held[e.field] = held.get(e.field, 0) + e.splits
+    known = {n: len(parents) > 1 or n in many for n, parents in above.items()} | {ROOT: True}
+    return SchemaGraph(edges, elements, known, {p: sorted(held, key=lambda f: (-held[f], f)) for p, held in cells.items()})
+
+
+def _with_singletons(events: DataFrame, graph: SchemaGraph, json: str) -> DataFrame:
+    """(event_id, json, singletons): with each text the names in it that are inlined, found by a join with the elements."""
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = json_reader()
+        for b in batches:
+            keys, out = [], []
+            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                o = read(text)
+                todo, seen = [] if o is REFUSED else [o], set()
+                while todo:
+                    node = todo.pop()
+                    if type(node) is dict:
+                        seen.update(k for k, v in node.items() if type(v) is dict)
+                        todo.extend(node.values())
+                    elif type(node) is list:
+                        todo.extend(node)
+                keys.extend([key] * len(seen))
+                out.extend(seen)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(out, pa.string())], ["_h", "name"])
+
+    keyed = events.select("event_id", json, F.sha2(json, 256).alias("_h"))
+    singles = graph.elements.where("not is_table").select("name")
+    # equal texts have equal names; a text's names are joined once for each split that holds it
+    held = keyed.select("_h", json).mapInArrow(names, "_h string, name string").distinct().join(singles, "name").groupBy("_h").agg(F.collect_list("name").alias("singletons"))
+    return keyed.join(held, "_h", "left").select("event_id", json, "singletons")
 
 
 def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json", only: list[str] | None = None, carry: dict[str, list[str]] | None = None) -> DataFrame:
@@ -141,7 +183,7 @@ def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json",
     """
     import json as codec
 
-    tables, inlined = graph.tables, graph.inlined
+    inlined = None if graph.known is None else frozenset(n for n, table in graph.known.items() if not table)
     wanted = None if only is None else frozenset(only)
     carried = {t: [(c, _parts(c)) for c in paths if graph.crosses(c)] for t, paths in (carry or {}).items()}
     names = [c.split(" ")[0] for c in ROW_SCHEMA.split(", ")]
@@ -165,12 +207,13 @@ def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json",
             keys: list[str] = []
             items: list[str] = []
             offsets = [0]
-            for event, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            own = b.column(2).to_pylist() if inlined is None else [None] * b.num_rows
+            for event, text, names_in in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), own):
                 o = read(text)
                 if o is REFUSED:
                     continue
-                number = 0
-                # node, element name, place, (parent table, parent number)
+                number, singles = 0, inlined if inlined is not None else frozenset(names_in or ())
+                # node, the field it stands in, place, parent table, parent number
                 rows: list[tuple] = [(o, ROOT, "", None, None)]
                 while rows:
                     node, name, place, above, above_no = rows.pop()
@@ -179,7 +222,6 @@ def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json",
                         continue
                     if type(node) is not dict:
                         continue
-                    table = name if name in tables else OTHER
                     mine, number = number, number + 1
                     before = len(keys)
                     inline: list[tuple[dict, str]] = [(node, "")]
@@ -188,21 +230,21 @@ def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json",
                         for k, v in obj.items():
                             kind = type(v)
                             if kind is dict:
-                                if k in inlined:
+                                if k in singles:
                                     inline.append((v, prefix + pointer(k) + "/"))
                                 else:
-                                    rows.append((v, k, "", table, mine))
+                                    rows.append((v, k, "", name, mine))
                             elif kind is list:
                                 nested = any(type(x) in (dict, list) for x in v)
                                 if nested:
-                                    rows.append((v, k, "", table, mine))
+                                    rows.append((v, k, "", name, mine))
                                 if (wanted is None or k in wanted) and (not nested or any(type(x) not in (dict, list) for x in v)):
                                     keys.append(prefix + pointer(k))
                                     items.append("l" + codec.dumps([x for x in v if type(x) not in (dict, list)]))
                             elif wanted is None or k in wanted:
                                 keys.append(prefix + pointer(k))
                                 items.append(cell(v))
-                    for path, parts in carried.get(table, ()):
+                    for path, parts in carried.get(name, ()):
                         v: object = node
                         for k in parts:
                             if type(v) is not dict or k not in v:
@@ -217,14 +259,15 @@ def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json",
                                 items.append(cell(v))
                     if wanted is not None and len(keys) == before:
                         continue
-                    for col, v in zip(out, (event, table, mine, above, above_no, name, place)):
+                    for col, v in zip(out, (event, name, mine, above, above_no, name, place)):
                         col.append(v)
                     offsets.append(len(keys))
             kinds = (pa.string(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.string())
             cells = pa.MapArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys, pa.string()), pa.array(items, pa.string()))
             yield pa.RecordBatch.from_arrays([*[pa.array(c, k) for c, k in zip(out, kinds)], cells], names)
 
-    return events.select("event_id", json).mapInArrow(work, ROW_SCHEMA)
+    source = events.select("event_id", json) if inlined is not None else _with_singletons(events, graph, json)
+    return source.mapInArrow(work, ROW_SCHEMA)
 
 
 def flat_table(rows: DataFrame, graph: SchemaGraph, name: str, columns: list[str] | None = None, carried: bool = False) -> DataFrame:
@@ -235,9 +278,9 @@ def flat_table(rows: DataFrame, graph: SchemaGraph, name: str, columns: list[str
     through objects with a table of their own isn't in these rows: that is an
     error unless the rows were shredded with it in ``carry`` (``carried``).
     """
-    wanted = columns if columns is not None else graph.columns.get(name, [])
+    wanted = columns if columns is not None else graph.columns(name)
     if columns is not None and not carried:
-        away = [c for c in columns if graph.crosses(c) and (not graph.whole or graph.tables & set(_parts(c)[:-1]))]
+        away = [c for c in columns if graph.crosses(c, unknown=False)]
         if away:
             raise ValueError(f"columns {away} aren't inlined in table {name}: shred with carry")
     cell = lambda c: F.when(F.col("cells")[c].startswith("z"), None).otherwise(F.substr(F.col("cells")[c], F.lit(2)))

@@ -33,16 +33,22 @@ def build_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; where it is unset, a folder of this machine if all of Spark runs on it, else an error."""
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
+    if named:
+        return named
+    if sc.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return os.path.join(tempfile.gettempdir(), f"vestigo-{os.getuid()}")
+
 
-    Only where that setting is absent (tests, one machine) a folder of this
-    machine is used.
-    """
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint into the shared folder."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        shared = sc.getConf().get("spark.checkpoint.dir", "")
-        sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "vestigo-checkpoints"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
