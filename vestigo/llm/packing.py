@@ -17,9 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vestigo.session import cut_lineage
+
 CAPACITY = 1024
-#: Pieces that one task packs; about 16 MB of sizes and ids.
-SHARD_PIECES = 200_000
+#: Pieces that one task packs; about 2 MB of sizes and ids.
+SHARD_PIECES = 25_000
 
 
 def regex_token_count(text: Column) -> Column:
@@ -115,6 +117,7 @@ def pack(sizes: DataFrame, identifier: str, tokens: str, capacity: int = CAPACIT
     if shards == 1:
         full = packed.select("*", F.concat_ws("-", "shard", "box").alias("container"))
     else:
+        packed = cut_lineage(packed)  # what is packed again depends on the whole result, which is kept for both
         # best fit leaves at most one container per shard that is no more than half full
         loose = F.col("fill") * 2 <= capacity
         rest = packed.where(loose).select(F.concat_ws("-", "shard", "box").alias("key"), "fill").distinct()

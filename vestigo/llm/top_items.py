@@ -1,10 +1,10 @@
 """The N best items of every group, with a fixed order among equal scores.
 
-Hot-cold split: exact counts find the groups that hold many items. Their rows
-are cut into salted score ranges, each range keeps its N best, and a last
-window over these few rows gives the result; all other groups go to an
-ordinary ranking window, which Spark limits to N rows per group before the
-shuffle.
+Hot-cold split: exact counts find the groups that hold many rows. Their items
+are cut into salted score ranges; other groups have one range and one salt. One
+pass over the table ranks both: a window per range keeps its N best, which
+Spark limits to N rows before the shuffle, and a last window joins the ranges
+of the hot groups.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A group with more distinct items than this is hot.
-HOT_ITEMS = 20_000
+#: A group with more rows than this is hot.
+HOT_ITEMS = 500
 #: Score ranges of a hot group, and salts within a range (equal scores can fill one range).
 RANGES, SALTS = 16, 8
 #: Bound on hot groups, hence on what is broadcast: the threshold rises with the input so that no more can exist.
@@ -51,26 +51,20 @@ def top_items(
     their names, aren't read.
     """
     slim = costs(rows, group, item, score, low_is_better)
-    total = rows.count()
-    limit = max(hot_items, total // MAX_HOT)
 
     def ranked(df: DataFrame, *keys: str) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy("_c", "_i")
         return df.withColumn("_r", F.row_number().over(w)).where(f"_r <= {int(n)}")
 
-    if total <= limit:  # no group can be hot
-        out = ranked(best_per_item(slim), "_g")
-    else:
-        # exact counts; at most total / limit <= MAX_HOT groups are hot, each with RANGES - 1 cut points
-        hot = slim.groupBy("_g").agg(F.count("*").alias("_n")).where(F.col("_n") > limit).select("_g")
-        cuts = slim.join(F.broadcast(hot), "_g", "left_semi").groupBy("_g").agg(F.percentile_approx("_c", [k / RANGES for k in range(1, RANGES)], 1000).alias("_cuts"))
-        light = ranked(best_per_item(slim.join(F.broadcast(hot), "_g", "left_anti")), "_g")
-        heavy = best_per_item(slim.join(F.broadcast(hot), "_g", "left_semi")).join(F.broadcast(cuts), "_g")
-        heavy = heavy.select(
-            "_g", "_i", "_c",
-            F.size(F.filter("_cuts", lambda x: x < F.col("_c"))).alias("_range"),
-            F.pmod(F.xxhash64("_i"), F.lit(SALTS)).alias("_salt"),
-        )
-        local = ranked(heavy, "_g", "_range", "_salt").select("_g", "_i", "_c")
-        out = light.unionByName(ranked(local, "_g"))
+    # exact counts; at most total / bound <= MAX_HOT groups are hot, each with RANGES - 1 cut points
+    counts = slim.groupBy("_g").agg(F.count("*").alias("_n"))
+    bound = counts.agg(F.greatest(F.lit(hot_items), F.floor(F.sum("_n") / MAX_HOT)).alias("_bound"))
+    hot = counts.join(F.broadcast(bound), F.col("_n") > F.col("_bound")).select("_g")
+    cuts = slim.join(F.broadcast(hot), "_g", "left_semi").groupBy("_g").agg(F.percentile_approx("_c", [k / RANGES for k in range(1, RANGES)], 1000).alias("_cuts"))
+    placed = best_per_item(slim).join(F.broadcast(cuts), "_g", "left").select(
+        "_g", "_i", "_c",
+        F.coalesce(F.size(F.filter("_cuts", lambda x: x < F.col("_c"))), F.lit(0)).alias("_range"),
+        F.when(F.col("_cuts").isNull(), 0).otherwise(F.pmod(F.xxhash64("_i"), F.lit(SALTS))).alias("_salt"),
+    )
+    out = ranked(ranked(placed, "_g", "_range", "_salt").select("_g", "_i", "_c"), "_g")
     return out.select(F.col("_g").alias(group), F.col("_i").alias(item), F.col("_c").alias("cost"), F.col("_r").alias("position"))
