@@ -98,12 +98,8 @@ def test_ledgers_by_brute_force(spark):
     b = [("hot", f"e{i}", 1, 1) for i in range(25, 75)] + [("y", "e1", 0, 0), ("x", "e1", 0, 0), ("x", "e1", 0, 0)]
     left, right = _ledger(spark, a), _ledger(spark, b)
     ca, cb = (Counter((r, e) for r, e, *_ in rows if r is not None and e is not None) for rows in (a, b))
-    for limit in (sc.MAX_DICTIONARY, 1):
-        sc.MAX_DICTIONARY, keep = limit, sc.MAX_DICTIONARY
-        try:
-            got = {(r.relation, r.event): (r.n_left, r.n_right) for r in sc.ledger_cells(left, right, "relation", "event", 3).collect()}
-        finally:
-            sc.MAX_DICTIONARY = keep
+    for limit in (sc.DICTIONARY_KEYS, 1):
+        got = {(r.relation, r.event): (r.n_left, r.n_right) for r in sc.ledger_cells(left, right, "relation", "event", 3, limit=limit).collect()}
         assert got == {k: (ca[k], cb[k]) for k in ca | cb}
     only = {(r.relation, r.event) for r in sc.one_sided(left, right, "relation", "event").collect()}
     assert only == set(ca) ^ set(cb)
@@ -114,13 +110,29 @@ def test_ledgers_by_brute_force(spark):
     assert (cmp["hot"].left_rows, cmp["hot"].right_rows, cmp["hot"].both_members) == (400, 50, 25)
 
 
+def test_ledger_blocks_are_streamed(spark, monkeypatch):
+    """Members whose rows fill many batches, one of them with very many keys."""
+    monkeypatch.setattr(sc, "HELD_ROWS", 1_000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        left = spark.range(30_000).selectExpr("cast(id as string) k", "if(id % 10 < 9, 'hot', cast(id as string)) m")
+        right = spark.range(500).selectExpr("cast(id % 5 as string) k", "cast(id % 7 as string) m")
+        cells = sc.ledger_cells(left, right, "k", "m", 2, limit=10).collect()
+        got = {(r.k, r.m): (r.n_left, r.n_right) for r in cells}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = Counter((str(i), "hot" if i % 10 < 9 else str(i)) for i in range(30_000)), Counter((str(i % 5), str(i % 7)) for i in range(500))
+    assert got == {c: (want[0][c], want[1][c]) for c in want[0] | want[1]} and len(cells) == len(got)
+
+
 def test_dense_counts(spark):
     rows = [("a", 1), ("a", None), ("b", 5), (None, 7)] * 30
     df = spark.createDataFrame(rows, "key string, v int").repartition(5)
     assert {tuple(r) for r in sc.dense_key_counts(df, "key", ["v"]).collect()} == {("a", 60, 30), ("b", 30, 150)}
     wide = spark.createDataFrame([(f"k{i % 500}", i) for i in range(2_000)], "key string, v int")
-    got = {r.key: (r.n_rows, r.v) for r in sc.dense_key_counts(wide, "key", ["v"]).collect()}
-    assert got == {f"k{j}": (4, sum(range(j, 2_000, 500))) for j in range(500)}
+    for limit in (sc.DICTIONARY_KEYS, 7):  # one dictionary for all splits, and small ones in each split
+        found = sc.dense_key_counts(wide, "key", ["v"], limit=limit).collect()
+        assert {r.key: (r.n_rows, r.v) for r in found} == {f"k{j}": (4, sum(range(j, 2_000, 500))) for j in range(500)} and len(found) == 500
     assert sc.dense_key_counts(df.limit(0), "key", ["v"]).count() == 0
 
 
