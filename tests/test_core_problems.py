@@ -89,6 +89,16 @@ def test_metric_readings_choose_time(spark):
     assert got == [("", 9_000, 9), ("1", 5_000, 1), ("2", 1_772_323_200_000, 2)]
 
 
+def test_gaps_of_any_length_are_walked_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(rs, "STEP_SHARDS", 3)
+    cells = rs.window_cells(spark.createDataFrame([("s", 0, 1), ("s", 300_000 * 5_000, 2)], "s string, t long, v long"), ["s"], "t", "v")
+    got = sorted(r.window_start_ms for r in rs.missing_windows(cells, ["s"], shard_windows=20).collect())
+    assert got == [300_000 * i for i in range(1, 5_000)]
+    monkeypatch.undo()
+    far = rs.window_cells(spark.createDataFrame([("s", 0, 1), ("s", 10**18, 2)], "s string, t long, v long"), ["s"], "t", "v")
+    assert len(rs.missing_windows(far, ["s"]).take(5)) == 5  # listed as they are asked for
+
+
 def _ledger(spark, rows):
     return spark.createDataFrame(rows, "relation string, event string, n_left int, k int")
 

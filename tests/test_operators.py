@@ -234,8 +234,6 @@ def test_search_modes_and_filters(spark):
     many = spark.createDataFrame([("a", f"o{i:03d}") for i in range(51)] + [("b", "o1"), ("b", "o1")], "document_id string, occurrence_id string")
     got = eligibility.bounded_occurrences(many).groupBy("document_id", "eligible", "exhausted").count().orderBy("document_id").collect()
     assert [tuple(r) for r in got] == [("a", 51, False, 50), ("b", 1, True, 1)]
-    merged = search.catalogue_search({"x": docs, "y": docs.where("document_id != 'a'")}, "red fox", 4).orderBy("merged_rank").collect()
-    assert [(r.dataset, r.document_id, r["rank"]) for r in merged][:2] == [("x", "a", 1), ("y", "b", 1)]
     plan = spark.createDataFrame([("q", "m", "t"), ("q", "m", "t"), ("p", "m", "t"), ("p", "n", "u")], "query_id string, mode string, query string")
     assert {tuple(r) for r in search.check_plan(plan).collect()} == {("q", "repeated"), ("p", "text differs")}
 
@@ -320,8 +318,6 @@ def test_layouts_and_sinks(spark, tmp_path):
         snapshots.read_relation(spark, str(tmp_path / "snap" / "rel_a.parquet"), "rel_a", ["nope"])
     assert snapshots.with_position(spark.read.parquet(str(tmp_path / "snap" / "rel_a.parquet"))).first().source_row == 0
     docs = spark.createDataFrame([("a", "red fox"), ("b", "red hen"), ("c", None)], "document_id string, text string")
-    sinks.write_index(docs, str(tmp_path / "index"))
-    assert [r.document_id for r in sinks.search_index(spark, str(tmp_path / "index"), "fox").collect()] == ["a"]
     sinks.write_documents(docs, str(tmp_path / "docs"))
     with pytest.raises(Exception):
         sinks.write_documents(docs, str(tmp_path / "docs"))

@@ -1,8 +1,9 @@
 """Lexical ranking (BM25, k1 = 1.2, b = 0.75) in its three scopes, and the tables behind it.
 
-A query has few terms, so documents are scored in one scan by counting just
-these terms in each token array; nothing but one row of statistics is
-shuffled. Query batches score blocks of documents against all queries at once
+Without an index documents are scored by counting just the query's terms in
+each token array: one scan for the statistics, of which one row per split is
+shuffled, and one for the scores. ``sources.index`` has the written form that
+answers without the texts. Query batches score blocks of documents against all queries at once
 and pass on only each split's best per query.
 """
 
@@ -53,28 +54,23 @@ def term_stats(documents: DataFrame, identifier: str, text: str, tokenizer: str
 def counted_terms(documents: DataFrame, keep: list[Column], text: str, terms: list[str], tokenizer: str) -> DataFrame:
     """``keep`` with ``_len``, the number of tokens, and ``_f0``, ``_f1``, ...: how often each term stands.
 
-    Tokens that aren't query terms are dropped in one pass over the array. The
-    few numbers per document are then exchanged, so that statistics and scores
-    read the same exchange and texts are tokenized once.
+    Tokens that aren't query terms are dropped in one pass over the array.
     """
     tokens = TOKENIZERS[tokenizer](F.coalesce(F.col(text), F.lit("")))
     hits = F.filter("_t", lambda x: x.isin(terms)) if terms else F.array()
     rows = documents.select(*keep, tokens.alias("_t")).select(*[F.col(c) for c in _names(documents, keep)], F.size("_t").alias("_len"), hits.alias("_h"))
     count = lambda t: F.size("_h") - F.size(F.array_remove("_h", t))
     names = _names(documents, keep)
-    return rows.select(*names, "_len", *[count(t).alias(f"_f{i}") for i, t in enumerate(terms)]).repartition(F.col(names[0]))
+    return rows.select(*names, "_len", *[count(t).alias(f"_f{i}") for i, t in enumerate(terms)])
 
 
 def _names(documents: DataFrame, keep: list[Column]) -> list[str]:
     return documents.select(*keep).columns
 
 
-def corpus_stats(rows: DataFrame, n_terms: int, by: list[str] | None = None) -> DataFrame:
-    """(_n, _avg, _d0, _d1, ...): documents, mean length (at least 1) and document frequencies, for each group if ``by`` is given."""
-    same = F.max(F.xxhash64(*rows.columns)).alias("_same")  # reads every column, so the exchange below is shared with the scores
-    aggs = [F.count("*").alias("_n"), F.greatest(F.avg("_len"), F.lit(1.0)).alias("_avg"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"_d{i}") for i in range(n_terms)]]
-    grouped = rows.groupBy(*by).agg(*aggs, same) if by else rows.agg(*aggs, same)
-    return grouped
+def corpus_stats(rows: DataFrame, n_terms: int) -> DataFrame:
+    """One row (_n, _avg, _d0, _d1, ...): documents, mean length (at least 1) and document frequencies."""
+    return rows.agg(F.count("*").alias("_n"), F.greatest(F.avg("_len"), F.lit(1.0)).alias("_avg"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"_d{i}") for i in range(n_terms)])
 
 
 def term_scores(weights: list[float]) -> Column:
@@ -113,10 +109,9 @@ def bm25_scan(
     weights = {t: terms.count(t) if repeat_terms else 1 for t in sorted(set(terms))}
     ok = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     base = documents if scope == "corpus" else documents.where(ok)
-    rows = counted_terms(base, [F.col(identifier), ok.cast("int").alias("_ok")], text, list(weights), tokenizer)
-    stats = corpus_stats(rows, len(weights))
-    # the filter reads both sides, so it stays above the exchange that both share
-    out = rows.crossJoin(F.broadcast(stats)).where("(_same is null or _same is not null) and _ok * _n > 0").select(identifier, term_scores(list(weights.values())).alias("score"))
+    held = F.lit(True) if eligible is None or scope != "corpus" else ok
+    rows = counted_terms(base, [F.col(identifier), held.alias("_ok")], text, list(weights), tokenizer)
+    out = rows.where("_ok").crossJoin(F.broadcast(corpus_stats(rows, len(weights)))).select(identifier, term_scores(list(weights.values())).alias("score"))
     return out if keep_zero else out.where("score > 0")
 
 

@@ -21,6 +21,8 @@ from vestigo.functions.jsons import REFUSED, json_reader
 STEP_MS = 300_000
 #: Windows in a time shard: one day of five-minute windows.
 SHARD_WINDOWS = 288
+#: Shards of a gap that are listed together; longer gaps are cut into such steps first.
+STEP_SHARDS = 50_000
 
 
 def window_cells(readings: DataFrame, series: list[str], time_ms: str, value: str, step: int = STEP_MS) -> DataFrame:
@@ -45,12 +47,14 @@ def window_cells(readings: DataFrame, series: list[str], time_ms: str, value: st
 
 
 def _spread(gaps: DataFrame, series: list[str], step: int, shard_ms: int) -> DataFrame:
-    """The windows strictly between ``_from`` and ``_to``; first by shard, then by window, so no array holds more than a shard."""
+    """The windows strictly between ``_from`` and ``_to``; by steps of shards, then by shard, then by window, so no array grows with the gap."""
     shard = lambda c: F.floor(c / F.lit(shard_ms))
     first, last = F.col("_from") + step, F.col("_to") - step
-    by_shard = gaps.where(F.col("_to") - F.col("_from") > step).select(
-        *series, "_carry", first.alias("_a"), last.alias("_b"), F.explode(F.sequence(shard(first), shard(last))).alias("_s")
-    )
+    wide = gaps.where(F.col("_to") - F.col("_from") > step).select(*series, "_carry", first.alias("_a"), last.alias("_b"), shard(first).alias("_s0"), shard(last).alias("_s1"))
+    steps = F.explode(F.sequence("_s0", "_s1", F.lit(STEP_SHARDS).cast("long"))).alias("_s0")
+    by_step = wide.select(*series, "_carry", "_a", "_b", "_s1", steps)
+    shards = F.explode(F.sequence("_s0", F.least(F.col("_s1"), F.col("_s0") + (STEP_SHARDS - 1)))).alias("_s")
+    by_shard = by_step.select(*series, "_carry", "_a", "_b", shards)
     low = F.greatest(F.col("_a"), F.col("_s") * shard_ms)
     high = F.least(F.col("_b"), F.col("_s") * shard_ms + (shard_ms - step))
     return by_shard.select(*series, "_carry", F.explode(F.sequence(low, high, F.lit(step).cast("long"))).alias("window_start_ms"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vestigo.operators import dense, eligibility, lexical, ranking
 from vestigo.plans import search
 from vestigo.registry import Registry
+from vestigo.sources.index import Index, index_of
 from vestigo.sources.tables import spread, table
 
 REGISTRY = Registry()
@@ -50,20 +51,35 @@ def docs(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "documents").select("doc_id", "document_id", "text", "lang", "source"))
 
 
+def index(spark: SparkSession, folder: str, tokenizer: str = "camel", by: str | None = None) -> Index:
+    """The written index of the documents; the first query after a change of the table builds it."""
+    keep = ("document_id", "lang")
+    return index_of(docs(spark, folder), [f"{folder}/documents.parquet"], "doc_id", tokenizer=tokenizer, keep=keep, by=by)
+
+
+@REGISTRY.query("bm25_scan_topk", bm25_sql(QUERY) + TOP20)
+def bm25_scan_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """Without an index, in one scan of the texts."""
+    return lexical.ranked_top(lexical.bm25_scan(docs(spark, folder), QUERY), "doc_id", 20)
+
+
 @REGISTRY.query("bm25_topk", bm25_sql(QUERY) + TOP20)
 def bm25_topk(spark: SparkSession, folder: str) -> DataFrame:
-    return lexical.ranked_top(lexical.bm25_scan(docs(spark, folder), QUERY), "doc_id", 20)
+    return lexical.ranked_top(index(spark, folder).scores(QUERY, "doc_id"), "doc_id", 20)
 
 
 @REGISTRY.query("bm25_postings_topk", bm25_sql(QUERY) + TOP20)
 def bm25_postings_topk(spark: SparkSession, folder: str) -> DataFrame:
-    d = docs(spark, folder)
-    return lexical.ranked_top(lexical.bm25_postings(lexical.postings(d, "doc_id", "text"), lexical.document_lengths(d, "doc_id", "text"), QUERY), "doc_id", 20)
+    """From posting rows and lengths, joined by document: the form for postings that don't carry the length."""
+    found = index(spark, folder)
+    lengths = found.table("lengths").withColumnRenamed("_id", "doc_id").select("doc_id", "doc_len")
+    hits = found.of_terms("postings", sorted(set(lexical.tokenize_query(QUERY)))).withColumnRenamed("_id", "doc_id").select("doc_id", "term", "tf")
+    return lexical.ranked_top(lexical.bm25_postings(hits, lengths, QUERY), "doc_id", 20)
 
 
 @REGISTRY.query("bm25_filtered", bm25_sql(QUERY, where="lang = 'en'") + TOP20)
 def bm25_filtered(spark: SparkSession, folder: str) -> DataFrame:
-    return lexical.ranked_top(lexical.bm25_scan(docs(spark, folder), QUERY, eligible=F.col("lang") == "en"), "doc_id", 20)
+    return lexical.ranked_top(index(spark, folder).scores(QUERY, "doc_id", where=F.col("lang") == "en"), "doc_id", 20)
 
 
 @REGISTRY.query(
@@ -72,14 +88,14 @@ def bm25_filtered(spark: SparkSession, folder: str) -> DataFrame:
     + "SELECT doc_id, round_even(round(score, 9) * 1e6, 0)::BIGINT AS score_millionths, row_number() OVER (ORDER BY round_even(round(score, 9) * 1e6, 0) DESC, doc_id)::INT AS rank FROM scored WHERE score > 0 QUALIFY rank <= 20",
 )
 def bm25_eligible_stats(spark: SparkSession, folder: str) -> DataFrame:
-    scored = lexical.bm25_scan(docs(spark, folder), QUERY + " lease", tokenizer="plain", eligible=F.col("lang") == "en", scope="eligible", repeat_terms=True)
+    scored = index(spark, folder, "plain").scores(QUERY + " lease", "doc_id", where=F.col("lang") == "en", scope="eligible", repeat_terms=True)
     whole = scored.withColumn("score", F.rint(F.round("score", 9) * 1e6))
     return lexical.ranked_top(whole, "doc_id", 20).select("doc_id", F.col("score").cast("long").alias("score_millionths"), "rank")
 
 
 @REGISTRY.query("bm25_keep_zero", bm25_sql(QUERY, "camel_digit", repeat=True) + "SELECT doc_id, round(score, 6) AS score FROM scored")
 def bm25_keep_zero(spark: SparkSession, folder: str) -> DataFrame:
-    scored = lexical.bm25_scan(docs(spark, folder), QUERY, tokenizer="camel_digit", repeat_terms=True, keep_zero=True)
+    scored = index(spark, folder, "camel_digit").scores(QUERY, "doc_id", repeat_terms=True, keep_zero=True)
     return scored.select("doc_id", F.round("score", 6).alias("score"))
 
 
@@ -195,7 +211,7 @@ RANKS = (
 
 
 def _lists(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    lex = lexical.bm25_scan(docs(spark, folder), QUERY).withColumnRenamed("doc_id", "id")
+    lex = index(spark, folder).scores(QUERY, "id")
     den = dense.score_against(_emb(spark, folder), _seed(spark, folder), "vec_id", "embedding").withColumnRenamed("vec_id", "id")
     return {"lexical": ranking.with_rank(lex, "id"), "dense": ranking.with_rank(den, "id")}
 
@@ -237,7 +253,7 @@ def review_pool(spark: SparkSession, folder: str) -> DataFrame:
     SELECT *, round(1.0::DOUBLE / (60 + rank), 6) AS fused, row_number() OVER (ORDER BY round(1.0::DOUBLE / (60 + rank), 6) DESC, dataset, doc_id)::INT AS merged_rank FROM r QUALIFY merged_rank <= 20""",
 )
 def catalogue_merge(spark: SparkSession, folder: str) -> DataFrame:
-    return search.catalogue_search_grouped(docs(spark, folder), F.col("source"), QUERY, "doc_id")
+    return search.catalogue_search(index(spark, folder, by="source"), QUERY, "doc_id")
 
 
 WANTED = eligibility.OccurrenceFilter(relations=("ocsf_dns_activity", "ocsf_process_activity"), start="2026-03-05 00:00:00", end="2026-03-20 00:00:00")
@@ -257,7 +273,7 @@ FILTERED = (
 
 @REGISTRY.query("filtered_search", FILTERED + "SELECT * FROM hits")
 def filtered_search(spark: SparkSession, folder: str) -> DataFrame:
-    return search.search(docs(spark, folder), table(spark, folder, "occurrences"), "lexical", "network activity denied status", wanted=WANTED)
+    return search.search(index(spark, folder), table(spark, folder, "occurrences"), "lexical", "network activity denied status", wanted=WANTED)
 
 
 @REGISTRY.query(

@@ -5,17 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vestigo.operators import dense, lexical, ranking
+from vestigo.sources.index import Index
 from vestigo.operators.eligibility import HIT_OCCURRENCES, OccurrenceFilter, bounded_occurrences, eligible_documents
 
 MODES = ("lexical", "dense", "fused")
 
 
 def search(
-    documents: DataFrame,
+    documents: DataFrame | Index,
     occurrences: DataFrame | None,
     mode: str,
     query: str | None = None,
@@ -25,7 +26,7 @@ def search(
     exclude: Sequence[str] = (),
     top_n: int = 10,
 ) -> DataFrame:
-    """(document_id, score, rank) of the best documents.
+    """(document_id, score, rank) of the best documents, of a written index or, in one scan, of a frame with document_id and text.
 
     Statistics come from the whole corpus; a filter decides by occurrences
     which documents are eligible; excluded documents are removed before the
@@ -44,7 +45,7 @@ def search(
 
     lists = []
     if mode in ("lexical", "fused"):
-        lists.append(narrowed(lexical.bm25_scan(documents, query or "", "document_id")))
+        lists.append(narrowed(documents.scores(query or "", "document_id") if isinstance(documents, Index) else lexical.bm25_scan(documents, query or "", "document_id")))
     if mode in ("dense", "fused"):
         lists.append(narrowed(dense.score_against(vectors, query_vector, "document_id", "vector")))
     scored = lists[0] if mode != "fused" else ranking.reciprocal_fusion([ranking.with_rank(s, "document_id") for s in lists], "document_id")
@@ -71,19 +72,56 @@ def hydrate(hits: DataFrame, occurrences: DataFrame, wanted: OccurrenceFilter |
     return hits.join(bounded_occurrences(few, most=most), "document_id", "left")
 
 
-def catalogue_search(datasets: dict[str, DataFrame], query: str, top_n: int = 10) -> DataFrame:
-    """The same lexical query on every dataset with its own statistics; merged by each dataset's ranks."""
-    parts = [lexical.ranked_top(lexical.bm25_scan(d, query, "document_id"), "document_id", top_n).withColumn("dataset", F.lit(name)) for name, d in sorted(datasets.items())]
-    return ranking.merge_datasets(reduce(DataFrame.unionByName, parts), "dataset", "document_id", top_n)
+def catalogue_search(index: Index, query: str, identifier: str = "document_id", per_dataset: int = 10, top_n: int = 20) -> DataFrame:
+    """The same lexical query on every dataset of an index that is kept by dataset, each with its own statistics; merged by each dataset's ranks."""
+    scored = index.scores(query, identifier).withColumnRenamed(index.by, "dataset")
+    return ranking.merge_datasets(lexical.ranked_top(scored, identifier, per_dataset, partition=["dataset"]), "dataset", identifier, top_n)
 
 
-def catalogue_search_grouped(documents: DataFrame, dataset: Column, query: str, identifier: str, text: str = "text", per_dataset: int = 10, top_n: int = 20) -> DataFrame:
-    """As ``catalogue_search`` for any number of datasets in one frame: statistics are grouped by dataset, in one scan."""
-    terms = sorted(set(lexical.tokenize_query(query)))
-    rows = lexical.counted_terms(documents, [F.col(identifier), dataset.alias("dataset")], text, terms, "camel")
-    stats = lexical.corpus_stats(rows, len(terms), ["dataset"])
-    scored = rows.join(stats, "dataset").where("_same is null or _same is not null").select(identifier, "dataset", lexical.term_scores([1.0] * len(terms)).alias("score")).where("score > 0")
-    return ranking.merge_datasets(lexical.ranked_top(scored, identifier, per_dataset, partition=["dataset"]), "dataset", identifier, top_n)
+def catalogue_modes(lists: dict[str, DataFrame], dataset: str, identifier: str, per_dataset: int = 10, top_n: int = 20) -> DataFrame:
+    """Dense, lexical and fused catalogue search at once: (mode, dataset, identifier, rank, fused, merged_rank).
+
+    ``lists`` has scored documents (dataset, identifier, score) by mode
+    'lexical' and 'dense'. Each dataset ranks its own; 'fused' adds
+    1 / (60 + rank) of both whole lists within a dataset. Datasets are merged by
+    1 / (60 + rank), ties by dataset, then identifier.
+    """
+    ranked = {m: ranking.with_rank(s, identifier, partition=[dataset]) for m, s in lists.items()}
+    parts = [(F.lit(1.0) / (F.lit(ranking.FUSION_K) + F.col("rank"))).alias("part")]
+    both = reduce(DataFrame.unionByName, [r.select(dataset, identifier, *parts) for r in ranked.values()])
+    fused = both.groupBy(dataset, identifier).agg(F.sum("part").alias("score"))
+    ranked["fused"] = lexical.ranked_top(fused, identifier, per_dataset, partition=[dataset])
+    rows = reduce(DataFrame.unionByName, [r.where(F.col("rank") <= per_dataset).select(F.lit(m).alias("mode"), dataset, identifier, "rank") for m, r in ranked.items()])
+    scored = rows.withColumn("fused", F.round(F.lit(1.0) / (F.lit(ranking.FUSION_K) + F.col("rank")), 6))
+    place = F.row_number().over(Window.partitionBy("mode").orderBy(F.desc("fused"), dataset, identifier))
+    return scored.withColumn("merged_rank", place).where(F.col("merged_rank") <= top_n)
+
+
+def catalogue_similar(vectors: DataFrame, seed: object, dataset: str, identifier: str, vector: str, per_dataset: int = 10, top_n: int = 20) -> DataFrame:
+    """The nearest documents to a seed in every dataset, the seed left out, merged by each dataset's ranks."""
+    q = dense.vector_of(vectors, seed, identifier, vector)
+    scored = vectors.where(F.col(identifier) != seed).select(dataset, identifier, dense.dot(F.col(vector), dense.constant(q)).alias("score"))
+    return ranking.merge_datasets(lexical.ranked_top(scored, identifier, per_dataset, partition=[dataset]), dataset, identifier, top_n)
+
+
+def catalogue_batch(documents: DataFrame, dataset: str, queries: list[tuple[object, str]], identifier: str, names: list[str], per_dataset: int = 10, top_n: int = 20, text: str = "text") -> DataFrame:
+    """Every query on every dataset (``names``, a stated set), merged per query: (query_id, dataset, identifier, rank, merged_rank)."""
+    parts = [lexical.bm25_batch(documents.where(F.col(dataset) == n), queries, per_dataset, identifier, text).withColumn("dataset", F.lit(n)) for n in names]
+    merged = reduce(DataFrame.unionByName, parts)
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("rank", "dataset", identifier))
+    return merged.withColumn("merged_rank", place).where(F.col("merged_rank") <= top_n).select("query_id", "dataset", identifier, "rank", "merged_rank")
+
+
+def page_after(ranked: DataFrame, identifier: str, size: int, after: tuple[float, object] | None = None, score: str = "score") -> DataFrame:
+    """Keyset paging of scored rows: the ``size`` next ones behind a (score, identifier) already seen, best first.
+
+    No offset is counted, so a late page costs what the first one costs.
+    """
+    rows = ranked.withColumn(score, F.round(score, 6))
+    if after is not None:
+        s, i = F.lit(float(after[0])), F.lit(after[1])
+        rows = rows.where((F.col(score) < s) | (F.col(score) == s) & (F.col(identifier) > i))
+    return rows.orderBy(F.desc(score), identifier).limit(size)
 
 
 def check_plan(plan: DataFrame) -> DataFrame:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vestigo.operators import lexical
-
 #: Rows in a file of documents or occurrences.
 SHARD_ROWS = 8192
 
@@ -30,21 +28,6 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def write_index(documents: DataFrame, path: str, identifier: str = "document_id", text: str = "text") -> None:
-    """The inverted index as three tables: postings sorted by term, document lengths, term statistics."""
-    index = lexical.postings(documents, identifier, text)
-    index.repartitionByRange("term", identifier).sortWithinPartitions("term", identifier).write.mode("errorifexists").parquet(f"{path}/postings")
-    lexical.document_lengths(documents, identifier, text).write.mode("errorifexists").parquet(f"{path}/lengths")
-    spark = documents.sparkSession
-    spark.read.parquet(f"{path}/postings").groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf")).write.mode("errorifexists").parquet(f"{path}/terms")
-
-
-def search_index(spark: SparkSession, path: str, query: str, top_n: int = 10, identifier: str = "document_id") -> DataFrame:
-    """BM25 from a written index; the terms reach the scan as pushed filters on sorted files."""
-    scored = lexical.bm25_postings(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths"), query, identifier)
-    return lexical.ranked_top(scored, identifier, top_n)
-
-
 def cached_embeddings(documents: DataFrame, cache: DataFrame, embed, key: str = "text_sha256", text: str = "text") -> DataFrame:
     """(key, vector) for every distinct text: from the cache where it is, else from ``embed``, a mapInPandas function over (key, text)."""
     wanted = documents.where(F.col(text).isNotNull()).select(F.sha2(F.col(text), 256).alias(key), text).dropDuplicates([key])
