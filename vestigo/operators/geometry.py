@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vestigo.operators.dense import constant, dot
+from vestigo.operators.ranking import running_total
 
 
 def mean_vector(vectors: DataFrame, vector: str) -> tuple[int, np.ndarray | None]:
@@ -69,7 +70,7 @@ def average_rank_percentile(rows: DataFrame, identifier: str, value: str) -> Dat
     """Average rank among ties, as a percentage of n; ranks come from counted distinct values."""
     v = F.round(F.col(value), 6)
     cells = rows.where(F.col(value).isNotNull()).groupBy(v.alias("_v")).agg(F.count("*").alias("_c"))
-    run = cells.withColumns({"_to": F.sum("_c").over(Window.orderBy("_v")), "_n": F.sum("_c").over(Window.partitionBy(F.lit(0)))})
+    run = running_total(cells, [F.col("_v")], F.col("_c"), "_to").crossJoin(F.broadcast(cells.agg(F.sum("_c").alias("_n"))))  # one row
     share = (F.col("_to") - (F.col("_c") - 1) / 2) / F.col("_n") * 100
     return rows.select(identifier, v.alias("_v")).join(run, "_v").select(identifier, F.round(share, 6).alias("percentile"))
 

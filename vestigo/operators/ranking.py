@@ -6,42 +6,64 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
-from vestigo.session import cut_lineage
+from vestigo.session import shuffle_width
 
 FUSION_K = 60
 
 
-#: Estimated bytes of a scored list up to which one task ranks it.
+#: Estimated bytes of a list up to which one task ranks it.
 ONE_TASK_BYTES = 256 << 20
+#: Rows that the bounds of a rank's ranges are drawn from, for each range.
+BOUND_ROWS = 50
 
 
 def with_rank(scored: DataFrame, identifier: str, score: str = "score", partition: list[str] | None = None, descending: bool = True, one_task_bytes: int = ONE_TASK_BYTES) -> DataFrame:
-    """Rank 1..n by score, then identifier, on scores rounded to 6 places.
+    """Rank 1..n by score, then identifier, on scores rounded to 6 places; null scores last.
 
-    A whole list that the optimizer estimates to be large is range-partitioned
-    by score: each partition ranks its own rows and adds the sizes of the
-    partitions before it.
+    A whole list that the optimizer estimates to be large is ranked range by
+    range, see ``global_rank``; both ways give the same ranks.
     """
     s = scored.withColumn(score, F.round(score, 6))
-    order = [F.desc(score) if descending else F.asc(score), F.asc(identifier)]
     if partition:
+        order = [F.desc(score) if descending else F.asc_nulls_last(score), F.asc(identifier)]
         return s.withColumn("rank", F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
-    if int(str(s._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= one_task_bytes:
-        return s.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
-    return global_rank(s, order)
+    value = F.col(score).cast("double")
+    return global_rank(s, [value.isNull(), -value if descending else value, F.col(identifier)], one_task_bytes=one_task_bytes)
 
 
-def global_rank(rows: DataFrame, order: list[Column]) -> DataFrame:
-    """``rank`` 1..n over all rows without gathering them in one task; one number per partition comes to the driver."""
-    ranged = cut_lineage(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
-    sizes = {r[0]: r[1] for r in ranged.groupBy("_part").count().collect()}
-    starts, at = {}, 0
-    for p in sorted(sizes):
-        starts[p], at = at, at + sizes[p]
-    book = rows.sparkSession.createDataFrame(sorted(starts.items()), "_part int, _start long")
-    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return ranged.withColumn("_own", own).join(F.broadcast(book), "_part").withColumn("rank", F.col("_own") + F.col("_start")).drop("_part", "_own", "_start")
+def global_rank(rows: DataFrame, order: list[Column], ranges: int | None = None, one_task_bytes: int = ONE_TASK_BYTES) -> DataFrame:
+    """``rank`` 1..n over all rows by the ascending ``order``, without gathering a large list in one task."""
+    return running_total(rows, order, F.lit(1).cast("long"), "rank", ranges, one_task_bytes)
+
+
+def running_total(rows: DataFrame, order: list[Column], weight: Column, name: str, ranges: int | None = None, one_task_bytes: int = ONE_TASK_BYTES) -> DataFrame:
+    """Each row with the sum of ``weight`` over all rows up to it by the ascending ``order``, which must tell all rows apart.
+
+    Bounds come from rows drawn by a hash of the order itself, so they are the
+    same whenever they are computed; a row's range is the number of bounds
+    before it, ranges are added up, and each starts from those before it.
+    Nothing needs to be kept between these steps.
+    """
+    keyed = rows.withColumn("_key", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
+    if ranges is None:
+        size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        # an unknown size is given as a number beyond any table
+        ranges = 1 if size <= one_task_bytes else max(shuffle_width(rows.sparkSession), size // max(1, one_task_bytes) if size < 1 << 55 else 1)
+    if ranges <= 1:
+        return keyed.withColumn(name, F.sum(weight).over(Window.partitionBy(F.lit(0)).orderBy("_key").rowsBetween(Window.unboundedPreceding, 0))).drop("_key")
+    ranges = min(ranges, 10_000)
+    drawn = keyed.select("_key", F.xxhash64("_key").alias("_h")).orderBy("_h").limit(ranges * BOUND_ROWS).orderBy("_key").collect()
+    kind = keyed.schema["_key"].dataType
+    at = sorted({i * len(drawn) // ranges for i in range(1, ranges)}) if drawn else []
+    bounds = rows.sparkSession.createDataFrame([([drawn[i][0] for i in at],)], StructType([StructField("_bounds", ArrayType(kind))]))
+    placed = keyed.crossJoin(F.broadcast(bounds)).withColumn("_range", F.size(F.filter("_bounds", lambda b: b < F.col("_key")))).drop("_bounds")
+    sums = placed.groupBy("_range").agg(F.sum(weight).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = sums.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = F.sum(weight).over(Window.partitionBy("_range").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0))
+    return placed.withColumn("_own", own).join(F.broadcast(starts), "_range").withColumn(name, F.col("_own") + F.col("_start")).drop("_key", "_range", "_own", "_start")
 
 
 def reciprocal_fusion(lists: list[DataFrame], identifier: str, k: int = FUSION_K) -> DataFrame:
@@ -60,7 +82,9 @@ def merge_datasets(ranked: DataFrame, dataset: str, identifier: str, n: int, k:
 
 def compare_rankings(left: DataFrame, right: DataFrame, identifier: str, cutoffs: tuple[int, ...] = (1, 5, 10, 20)) -> DataFrame:
     """One row per cut-off: shared, left-only, right-only, overlap, Jaccard and the mean rank change of the shared."""
-    both = left.select(identifier, F.col("rank").alias("lr")).join(right.select(identifier, F.col("rank").alias("rr")), identifier, "full_outer")
+    most = max(cutoffs)
+    heads = [d.where(F.col("rank") <= most).select(identifier, F.col("rank").alias(n)) for d, n in ((left, "lr"), (right, "rr"))]
+    both = heads[0].join(heads[1], identifier, "full_outer")
     marks = F.explode(F.array(*[F.lit(c) for c in cutoffs])).alias("k")
     inside = both.select("*", marks)
     a, b = F.coalesce(F.col("lr") <= F.col("k"), F.lit(False)), F.coalesce(F.col("rr") <= F.col("k"), F.lit(False))

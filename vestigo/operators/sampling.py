@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vestigo.operators.ranking import global_rank
+from vestigo.operators.ranking import global_rank, running_total
 
 
 def priority(seed: str, *parts: Column) -> Column:
@@ -88,7 +88,7 @@ def percentiles_nearest(rows: DataFrame, value: str, shares: tuple[float, ...] =
 def percentile_floor(rows: DataFrame, value: str, shares: tuple[float, ...]) -> list:
     """Values at the places floor((n - 1) p) of the sorted values; from a counted table on the cluster, a few numbers come back."""
     cells = rows.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
-    run = cells.withColumns({"_run": F.sum("_c").over(Window.orderBy("_v")), "_n": F.sum("_c").over(Window.partitionBy(F.lit(0)))})
+    run = running_total(cells, [F.col("_v")], F.col("_c"), "_run").crossJoin(F.broadcast(cells.agg(F.sum("_c").alias("_n"))))  # one row
     got = run.agg(*[F.min(F.when(F.col("_run") > F.floor((F.col("_n") - 1) * F.lit(p)), F.col("_v"))) for p in shares]).first()
     return list(got)
 
@@ -149,7 +149,7 @@ def greedy_ranges(rows: DataFrame, order: str, tokens: str, max_tokens: int, max
 def dense_ordinals(rows: DataFrame, key: str) -> DataFrame:
     """Each distinct key with its place 0..n-1 in key order, by ``ranking.global_rank``."""
     keys = rows.where(F.col(key).isNotNull()).select(key).distinct()
-    return global_rank(keys, [F.asc(key)]).select(key, (F.col("rank") - 1).cast("long").alias("ordinal"))
+    return global_rank(keys, [F.col(key)]).select(key, (F.col("rank") - 1).cast("long").alias("ordinal"))
 
 
 def round_robin(capacity: dict[tuple[str, int], int], total: int) -> dict[tuple[str, int], int]:

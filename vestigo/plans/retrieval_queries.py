@@ -239,7 +239,7 @@ def mode_comparison(spark: SparkSession, folder: str) -> DataFrame:
 
 @REGISTRY.query(
     "review_pool",
-    RANKS + """SELECT id, string_agg(mode, ',' ORDER BY mode) AS modes, min(rank)::INT AS best_rank FROM
+    RANKS + """SELECT id, string_agg(mode, ',' ORDER BY mode) AS modes, min(rank)::BIGINT AS best_rank FROM
     (SELECT id, 'lexical' AS mode, rank FROM lx WHERE rank <= 20 UNION ALL SELECT id, 'dense', rank FROM dn WHERE rank <= 20) GROUP BY id""",
 )
 def review_pool(spark: SparkSession, folder: str) -> DataFrame:
