@@ -220,7 +220,7 @@ def test_document_groups_of_all_scripts(spark, tmp_path):
     for d, t in docs:
         if t is not None:
             want.setdefault(hashlib.sha256(" ".join(t.split()).lower().encode()).hexdigest(), []).append(d)
-    got = REGISTRY.fns["document_groups_all"](spark, str(tmp_path)).collect()
+    got = REGISTRY.fns["document_groups"](spark, str(tmp_path)).collect()
     assert {r.content_sha256: (r.occurrence_count, r.representative) for r in got} == {k: (len(v), min(v)) for k, v in want.items()}
     assert len(got) == len(want) == 7
 

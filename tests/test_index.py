@@ -84,7 +84,7 @@ def test_catalogues(spark, docs, tmp_path):
     assert got.columns == ["doc_id", "source", "score"] and _scores(got) == want
     merged = [(r.dataset, r["rank"], r.merged_rank) for r in search.catalogue_search(i, "red fox", "doc_id", 4).orderBy("merged_rank").collect()]
     assert [m[:2] for m in merged][:3] == [("x", 1), ("y", 1), ("z", 1)] and [m[2] for m in merged] == list(range(1, len(merged) + 1))
-    batch = search.catalogue_batch(docs, "source", [(1, "red fox"), (2, "hen")], "doc_id", ["x", "y", "z"]).collect()
+    batch = search.catalogue_batch(i, [(1, "red fox"), (2, "hen")], "doc_id", 4).collect()
     assert [(r.dataset, r["rank"]) for r in sorted(batch, key=lambda r: r.merged_rank) if r.query_id == 1] == [m[:2] for m in merged]
     v = spark.createDataFrame([(1, "x", [1.0, 0.0]), (2, "x", [0.9, 0.1]), (5, "y", [0.0, 1.0]), (7, "y", [0.5, 0.5])], "doc_id long, source string, v array<double>")
     near = search.catalogue_similar(v, 1, "source", "doc_id", "v").orderBy("merged_rank").collect()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -61,3 +61,33 @@ def shared_owners(rows: DataFrame, owned: str, owner: str, allowed: list[str] =
     """(owned, owners): what more than one owner holds and isn't allowed to be shared."""
     g = rows.where(F.col(owned).isNotNull()).select(owned, owner).distinct().groupBy(owned).agg(F.count("*").alias("owners")).where("owners > 1")
     return g.where(~F.col(owned).isin(list(allowed))) if allowed else g
+
+
+def resolved_ends(relationships: DataFrame, entities: DataFrame, source: str = "source_entity_id", target: str = "target_entity_id", key: str = "entity_id") -> DataFrame:
+    """Each relationship with the kinds of both its ends; an end without an entity has a null kind and is said to dangle."""
+    ends = [entities.select(F.col(key).alias(c), F.col("kind").alias(f"{n}_kind")) for c, n in ((source, "source"), (target, "target"))]
+    both = relationships.join(ends[0], source, "left").join(ends[1], target, "left")
+    lost = (F.col(source).isNotNull() & F.col("source_kind").isNull()) | (F.col(target).isNotNull() & F.col("target_kind").isNull())
+    return both.withColumn("dangling", lost)
+
+
+def row_point(*columns: str) -> Column:
+    """52 uniform bits of a row's values; null and the empty text differ."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.conv(F.substring(F.sha2(F.concat_ws("\x00", *parts), 256), 1, 13), 16, 10).cast("decimal(38,0)")
+
+
+def receipts(rows: DataFrame, by: Column, columns: list[str]) -> DataFrame:
+    """(part, n_rows, content): what each part of a snapshot holds, whatever its files and order; ``content`` adds up the rows' hashes."""
+    return rows.groupBy(by.alias("part")).agg(F.count("*").alias("n_rows"), F.sum(row_point(*columns)).cast("string").alias("content"))
+
+
+def admission(found: DataFrame, expected: DataFrame) -> DataFrame:
+    """(part, problem) where two receipts differ; an empty result admits the snapshot."""
+    a, b = (d.select("part", F.struct("n_rows", "content").alias(n)) for d, n in ((found, "_a"), (expected, "_b")))
+    both = a.join(b, a["part"].eqNullSafe(b["part"]), "full_outer").select(F.coalesce(a["part"], b["part"]).alias("part"), "_a", "_b")
+    problem = (
+        F.when(F.col("_b").isNull(), "not expected").when(F.col("_a").isNull(), "missing")
+        .when(F.col("_a.n_rows") != F.col("_b.n_rows"), "row count differs").when(F.col("_a.content") != F.col("_b.content"), "content differs")
+    )
+    return both.select("part", problem.alias("problem")).where("problem is not null")

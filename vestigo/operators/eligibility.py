@@ -16,13 +16,20 @@ ATTRIBUTES = "array<struct<namespace:string,path:string,value:string>>"
 
 @dataclass(frozen=True)
 class OccurrenceFilter:
-    """Relations, a half-open time range, snapshots, and documents to leave out. Null times fail any time range."""
+    """Relations, a half-open time range, snapshots, documents to leave out, entities that take part, and numeric fields by their path.
+
+    Null times fail any time range. ``entities`` needs the participants;
+    ``uids`` maps a path of an exact attribute, such as /activity_id, to the
+    values one of which it must have.
+    """
 
     relations: tuple[str, ...] = ()
     start: str | None = None
     end: str | None = None
     snapshots: tuple[str, ...] = ()
     exclude: tuple[str, ...] = field(default=())
+    entities: tuple[str, ...] = ()
+    uids: tuple[tuple[str, tuple[int, ...]], ...] = ()
 
     def check(self, top_n: int = 1) -> None:
         if not 1 <= top_n <= MAX_TOP:
@@ -44,13 +51,26 @@ class OccurrenceFilter:
             ok = ok & F.col("snapshot_sha256").isin(list(self.snapshots))
         if self.exclude:
             ok = ok & ~F.col("document_id").isin(list(self.exclude))
+        for path, values in self.uids:
+            held = lambda a: (a["path"] == path) & a["value"].try_cast("long").isin([int(v) for v in values])  # noqa: E731, B023
+            ok = ok & F.coalesce(F.exists(attributes(None), held), F.lit(False))
         return F.coalesce(ok, F.lit(False))
 
 
-def eligible_documents(occurrences: DataFrame, wanted: OccurrenceFilter) -> DataFrame:
-    """Documents with at least one occurrence that passes."""
+def eligible_occurrences(occurrences: DataFrame, wanted: OccurrenceFilter, participants: DataFrame | None = None) -> DataFrame:
+    """Occurrences that pass; with ``entities`` those of events in which one of them takes part, by a semi join."""
     wanted.check()
-    return occurrences.where(wanted.condition()).select("document_id").distinct()
+    rows = occurrences.where(wanted.condition())
+    if wanted.entities:
+        if participants is None:
+            raise ValueError("a filter by entity needs the participants")
+        rows = rows.join(participants.where(F.col("entity_id").isin(list(wanted.entities))).select("event_id"), "event_id", "left_semi")
+    return rows
+
+
+def eligible_documents(occurrences: DataFrame, wanted: OccurrenceFilter, participants: DataFrame | None = None) -> DataFrame:
+    """Documents with at least one occurrence that passes."""
+    return eligible_occurrences(occurrences, wanted, participants).select("document_id").distinct()
 
 
 def bounded_occurrences(occurrences: DataFrame, key: str = "document_id", order: str = "occurrence_id", most: int = HIT_OCCURRENCES) -> DataFrame:
@@ -66,7 +86,7 @@ def bounded_occurrences(occurrences: DataFrame, key: str = "document_id", order:
     return first.join(counts, key).withColumn("exhausted", F.col("eligible") <= most)
 
 
-def attributes(occurrences: DataFrame, column: str = "exact_attributes_json") -> Column:
+def attributes(occurrences: DataFrame | None, column: str = "exact_attributes_json") -> Column:
     """The exact attributes as an array of (namespace, path, value as JSON text); null where they can't be read."""
     return F.from_json(F.col(column), ATTRIBUTES)
 

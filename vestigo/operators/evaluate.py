@@ -120,6 +120,13 @@ def paired_deltas(left: DataFrame, right: DataFrame, key: str, value: str) -> Da
     return a.join(b, key).where("_a is not null and _b is not null").select(key, F.round(F.col("_b") - F.col("_a"), 6).alias("delta"))
 
 
+def paired_bootstrap(left: DataFrame, right: DataFrame, key: str, value: str, cluster: str, rounds: int = 1000, seed: int = 7, share: float = 0.95) -> DataFrame:
+    """(mean, low, high, clusters) of right minus left over the keys that both have, resampled by cluster."""
+    a, b = left.select(key, cluster, F.col(value).alias("_a")), right.select(key, F.col(value).alias("_b"))
+    both = a.join(b, key).where("_a is not null and _b is not null").withColumn("_d", F.col("_b") - F.col("_a"))
+    return bootstrap(both, cluster, "_d", rounds, seed, share)
+
+
 def gates(values: DataFrame, limits: dict[str, float]) -> DataFrame:
     """(gate, value, threshold, passed) for columns of a one-row frame that must reach their thresholds; null fails."""
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("gate"), F.col(k).cast("double").alias("value"), F.lit(float(t)).alias("threshold")) for k, t in limits.items()]))

@@ -50,6 +50,19 @@ def robust_isolation(rows: DataFrame, group: str, identifier: str, value: str) -
     return off.join(mad, group).select(group, identifier, F.round(value, 6).alias(value), F.round(z, 4).alias("isolation"), F.when(F.col("mad") > 0, "scored").otherwise("zero_mad").alias("status"))
 
 
+def relation_summary(neighbours: DataFrame, identifier: str, k: int) -> DataFrame:
+    """(label, documents, effective_k, mean, median, p90 and p99 isolation, reciprocal rate) from each one's k nearest of its own label.
+
+    Isolation is the mean distance to the neighbours; a link is reciprocal if
+    the neighbour has it too.
+    """
+    links = neighbours.select("label", F.col(identifier).alias("_a"), F.col("neighbour").alias("_b"), (1 - F.col("similarity")).alias("_d"))
+    back = links.select(F.col("_a").alias("_b"), F.col("_b").alias("_a"), F.lit(1).alias("_back"))
+    each = links.join(back, ["_a", "_b"], "left").groupBy("label", "_a").agg(F.avg("_d").alias("_i"), F.count("_back").alias("_r"), F.count("*").alias("_k"))
+    stats = {"mean_isolation": F.avg("_i"), "median_isolation": F.percentile("_i", 0.5), "p90_isolation": F.percentile("_i", 0.9), "p99_isolation": F.percentile("_i", 0.99), "reciprocal_rate": F.avg(F.col("_r") / F.col("_k"))}
+    return each.groupBy("label").agg(F.count("*").alias("documents"), F.max("_k").alias("effective_k"), *[F.round(c, 6).alias(n) for n, c in stats.items()])
+
+
 def confusion(neighbours: DataFrame) -> DataFrame:
     """(label, neighbour_label, n, share) over nearest neighbours."""
     cells = neighbours.groupBy("label", "neighbour_label").agg(F.count("*").alias("n"))

@@ -130,6 +130,30 @@ def p6_table_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_LINKS_SQL = r"""
+WITH doc AS (SELECT row_number() OVER () AS d, typed_event_json AS j FROM (SELECT DISTINCT * FROM typed_events) WHERE json_valid(typed_event_json)),
+obj AS (SELECT d, regexp_replace(fullkey, '(\[\d+\])+$', '') AS s, fullkey LIKE '%]' AND regexp_replace(fullkey, '(\[\d+\])+$', '') != '$' AS many FROM doc, json_tree(j) t WHERE t.type = 'OBJECT'),
+el AS (SELECT d, many, CASE WHEN s = '$' THEN '$' ELSE regexp_extract(s, '([^.]+)$', 1) END AS name,
+  CASE WHEN s = '$' THEN NULL ELSE regexp_extract(regexp_replace(regexp_replace(s, '\.[^.]+$', ''), '(\[\d+\])+$', ''), '([^.]+)$', 1) END AS parent FROM obj),
+tab AS (SELECT name FROM el GROUP BY 1 HAVING name = '$' OR bool_or(many) OR count(DISTINCT parent) > 1)
+SELECT name AS table_name, count(*) AS n_rows, count(parent) AS n_child_rows, 0::BIGINT AS orphans FROM el JOIN tab USING (name) GROUP BY 1
+"""
+
+
+@REGISTRY.query("p6_links", _LINKS_SQL)
+def p6_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of every table, those with a parent, and those whose parent row isn't there."""
+    events = spread(table(spark, folder, "typed_events")).distinct()
+    rows = nested_tables.shred(events, nested_tables.schema_graph(events))
+    links = rows.select("event_id", "table_name", "row_no", "parent_table", "parent_row_no", F.col("event_id").isNull().alias("nameless"))
+    up = rows.select("event_id", F.col("table_name").alias("parent_table"), F.col("row_no").alias("parent_row_no"), F.lit(1).alias("there")).distinct()
+    return links.join(up, ["event_id", "parent_table", "parent_row_no"], "left").groupBy("table_name").agg(
+        F.count("*").alias("n_rows"),
+        F.count("parent_row_no").alias("n_child_rows"),
+        F.count_if(F.col("parent_row_no").isNotNull() & F.col("there").isNull() & ~F.col("nameless")).alias("orphans"),
+    )
+
+
 @REGISTRY.query("p6_event_table")
 def p6_event_table(spark: SparkSession, folder: str) -> DataFrame:
     events = spread(table(spark, folder, "typed_events"))

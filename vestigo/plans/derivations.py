@@ -6,10 +6,16 @@ derived document names its members by a digest of their set.
 
 from __future__ import annotations
 
+import hashlib
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vestigo.functions.evidence import ENTITY_KINDS, PARTICIPANT_ROLES, closed_term, iso_millis, set_digest, state_category
+from vestigo.functions.jsons import REFUSED, json_reader
 from vestigo.functions.projection import METRIC, STATE
 from vestigo.functions.text import magnitude_bucket
 from vestigo.operators import derive
@@ -138,6 +144,52 @@ def entity_documents(entities: DataFrame, participants: DataFrame, events: DataF
     return _document(rolled, "entity_rollup", ["entity_id"], text)
 
 
+# Where a state holds what changes without its meaning changing.
+VOLATILE_STATE_POINTERS = (
+    "/header/time", "/header/event_id", "/header/metadata/uid", "/ocsf/time", "/ocsf/metadata/uid", "/time", "/event_time", "/event_id", "/record_uid",
+    "/native_event_uid", "/support_ref", "/ingest_time", "/ingestion_time",
+)
+CONFIGURATION = "ocsf_ext_livefire_configuration_snapshot"
+
+
+def state_signatures(events: DataFrame) -> DataFrame:
+    """(event_id, relation_name, signature, problem): a digest of what a state says, without its volatile fields.
+
+    Of a configuration snapshot only ``state`` counts, and its absence is a
+    problem; of other state relations the whole object. Objects compare
+    without regard to the order of their keys, lists by their order. Texts
+    that aren't an object give 'typed_event_unavailable'.
+    """
+    volatile = [p[1:].split("/") for p in VOLATILE_STATE_POINTERS]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = json_reader()
+        for b in batches:
+            out: list[list] = [[], [], [], []]
+            for event, relation, text in zip(*[b.column(i).to_pylist() for i in range(3)]):
+                state, problem = read(text), None
+                if state is REFUSED or not isinstance(state, dict):
+                    state, problem = None, "typed_event_unavailable"
+                elif relation == CONFIGURATION:
+                    state = state.get("state")
+                    problem = "missing_state" if state is None else None
+                else:
+                    for path in volatile:
+                        at = state
+                        for key in path[:-1]:
+                            at = at.get(key) if isinstance(at, dict) else None
+                        if isinstance(at, dict):
+                            at.pop(path[-1], None)
+                said = None if problem else hashlib.sha256(json.dumps(state, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode("utf-8", "surrogatepass")).hexdigest()
+                for column, v in zip(out, (event, relation, said, problem)):
+                    column.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in out], ["event_id", "relation_name", "signature", "problem"])
+
+    r = relation_key("relation_name")
+    rows = events.where(r.isin(STATE)).select("event_id", r.alias("relation_name"), "typed_event_json")
+    return rows.mapInArrow(work, "event_id string, relation_name string, signature string, problem string")
+
+
 def frame_diff(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """(same, changed, left_only, right_only) rows of two frames of the same columns, by key and a hash of the rest; keys must be unique."""
     rest = [c for c in left.columns if c not in keys]

@@ -211,7 +211,12 @@ def weighted_sensitivity(spark: SparkSession, folder: str) -> DataFrame:
     return geometry.weighted_means(rows, "label", "distance", weights)
 
 
-@REGISTRY.query("lof")
+@REGISTRY.query(
+    "lof",
+    _nn_sql("all", 20) + """, d AS (SELECT vec_id AS a, neighbour AS b, greatest(1 - similarity, 1e-12) AS d FROM nn), k AS (SELECT a AS b, max(d) AS kd FROM d GROUP BY 1),
+    l AS (SELECT a, 1 / avg(greatest(d, kd)) AS lrd FROM d JOIN k USING (b) GROUP BY 1), m AS (SELECT d.a, avg(o.lrd) AS m FROM d JOIN l o ON o.a = d.b GROUP BY 1)
+    SELECT a AS vec_id, round(m / lrd, 4) AS lof FROM m JOIN l USING (a)""",
+)
 def lof(spark: SparkSession, folder: str) -> DataFrame:
     return geometry.local_outlier_factor(_neighbours(spark, folder, 20, "all"), "vec_id")
 

@@ -96,18 +96,19 @@ def source_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @REGISTRY.query(
     "sanitize_text",
-    r"""WITH t AS (SELECT doc_id, regexp_replace(text, '[\x00\r\n]', ' ', 'g') AS t FROM documents WHERE text IS NOT NULL AND regexp_matches(text, '^[\x00-\x7f]*$')),
+    r"""WITH t AS (SELECT doc_id, regexp_replace(text, '[\x00\r\n]', ' ', 'g') AS t FROM documents WHERE text IS NOT NULL),
     a AS (SELECT doc_id, regexp_replace(t, '(?i)(password|passwd|pwd|secret|token|api[-_]?key|access[-_]?key|authorization|cookie|private[-_]?key)(\s*(?:=|:)\s*|\s+)("[^"]*"|''[^'']*''|[^\s,;]+)', '\1\2<redacted:secret>', 'g') AS t FROM t),
-    b AS (SELECT doc_id, regexp_replace(t, '(?i)\bbearer\s+[A-Za-z0-9._~+/=-]+', 'Bearer <redacted:secret>', 'g') AS t FROM a)
-    SELECT doc_id, md5(trim(regexp_replace(t, '\s+', ' ', 'g'))) AS secrets_md5 FROM b""",
+    b AS (SELECT doc_id, regexp_replace(t, '(?i)\bbearer\s+[A-Za-z0-9._~+/=-]+', 'Bearer <redacted:secret>', 'g') AS t FROM a),
+    c AS (SELECT doc_id, regexp_replace(t, '\b(?:AKIA|ASIA)[A-Z0-9]{16}\b', '<redacted:cloud-credential>', 'g') AS t FROM b),
+    d AS (SELECT doc_id, regexp_replace(t, '(?i)\barn:[a-z0-9-]+:[^\s,;]+', '<redacted:cloud-identifier>', 'g') AS t FROM c)
+    SELECT doc_id, md5(t) AS secrets_md5 FROM d""",
 )
 def sanitize_text(spark: SparkSession, folder: str) -> DataFrame:
-    """Only ASCII texts and the first two redactions, as in its SQL: the other rules look around, which the SQL engine's patterns can't. All of both: sanitized_full."""
-    rows = table(spark, folder, "documents").where(F.col("text").isNotNull() & F.col("text").rlike(r"\A[\x00-\x7f]*\z"))
+    """Credentials and cloud names in every text: the rules that don't look around, which the SQL engine's patterns can't. All rules: sanitized_full."""
     t = F.regexp_replace("text", r"[\x00\r\n]", " ")
-    for pattern, to in tx.REDACTIONS[:2]:
+    for pattern, to in tx.REDACTIONS[:4]:
         t = F.regexp_replace(t, pattern, to)
-    return rows.select("doc_id", F.md5(F.trim(F.regexp_replace(t, r"\s+", " "))).alias("secrets_md5"))
+    return table(spark, folder, "documents").where(F.col("text").isNotNull()).select("doc_id", F.md5(t).alias("secrets_md5"))
 
 
 @REGISTRY.query("sanitized_full")
@@ -167,7 +168,14 @@ def hash_min_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.hash_min(table(spark, folder, "documents"), "source", "doc_id", 5).select("doc_id", "source", "position")
 
 
-@REGISTRY.query("stratified_sample")
+@REGISTRY.query(
+    "stratified_sample",
+    """WITH c AS (SELECT doc_type, count(*) AS n, sum(count(*)) OVER () AS whole FROM documents WHERE doc_type IS NOT NULL GROUP BY 1),
+    e AS (SELECT doc_type, n, least(100, whole) * n / whole::DOUBLE AS exact FROM c), f AS (SELECT *, least(n, greatest(1, floor(exact)))::BIGINT AS base FROM e),
+    q AS (SELECT doc_type, base + CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, doc_type) <= 100 - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM f),
+    r AS (SELECT doc_id, doc_type, row_number() OVER (PARTITION BY doc_type ORDER BY sha256('pilot' || chr(0) || doc_id), doc_id)::INT AS position FROM documents)
+    SELECT doc_id, doc_type, position FROM r JOIN q USING (doc_type) WHERE position <= quota""",
+)
 def stratified_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.stratified(table(spark, folder, "documents"), "doc_type", "doc_id", 100).select("doc_id", "doc_type", "position")
 

@@ -182,17 +182,10 @@ def interval_union(spark: SparkSession, folder: str) -> DataFrame:
 
 @REGISTRY.query(
     "document_groups",
-    r"""SELECT sha256(lower(trim(regexp_replace(text, '\s+', ' ', 'g')))) AS content_sha256, count(*) AS occurrence_count, min(document_id) AS representative FROM documents WHERE text IS NOT NULL AND regexp_matches(text, '^[\x00-\x7f]*$') GROUP BY 1""",
+    r"""SELECT sha256(lower(trim(regexp_replace(text, '[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')))) AS content_sha256,
+    count(*) AS occurrence_count, min(document_id) AS representative FROM documents WHERE text IS NOT NULL GROUP BY 1""",
 )
 def document_groups(spark: SparkSession, folder: str) -> DataFrame:
-    """Only ASCII texts, as in its SQL: the two engines differ in white space and lower case beyond that. All texts: document_groups_all."""
-    rows = table(spark, folder, "documents").where(F.col("text").isNotNull() & F.col("text").rlike(r"\A[\x00-\x7f]*\z"))
-    key = F.sha2(F.lower(F.trim(F.regexp_replace("text", r"\s+", " "))), 256)
-    return rows.groupBy(key.alias("content_sha256")).agg(F.count("*").alias("occurrence_count"), F.min("document_id").alias("representative"))
-
-
-@REGISTRY.query("document_groups_all")
-def document_groups_all(spark: SparkSession, folder: str) -> DataFrame:
     """Every text that is not null, whatever its script; white space is Unicode's White_Space, case is Unicode's."""
     rows = table(spark, folder, "documents").where(F.col("text").isNotNull())
     key = F.sha2(F.lower(F.trim(F.regexp_replace("text", r"(?U)\s+", " "))), 256)

@@ -104,12 +104,12 @@ def catalogue_similar(vectors: DataFrame, seed: object, dataset: str, identifier
     return ranking.merge_datasets(lexical.ranked_top(scored, identifier, per_dataset, partition=[dataset]), dataset, identifier, top_n)
 
 
-def catalogue_batch(documents: DataFrame, dataset: str, queries: list[tuple[object, str]], identifier: str, names: list[str], per_dataset: int = 10, top_n: int = 20, text: str = "text") -> DataFrame:
-    """Every query on every dataset (``names``, a stated set), merged per query: (query_id, dataset, identifier, rank, merged_rank)."""
-    parts = [lexical.bm25_batch(documents.where(F.col(dataset) == n), queries, per_dataset, identifier, text).withColumn("dataset", F.lit(n)) for n in names]
-    merged = reduce(DataFrame.unionByName, parts)
+def catalogue_batch(index: Index, queries: list[tuple[object, str]], identifier: str = "document_id", per_dataset: int = 10, top_n: int = 20) -> DataFrame:
+    """Every query (a stated set) on every dataset of an index kept by dataset, merged per query: (query_id, dataset, identifier, rank, merged_rank)."""
+    scored = index.batch_scores(queries, identifier).withColumnRenamed(index.by, "dataset")
+    ranked = lexical.ranked_top(scored, identifier, per_dataset, partition=["query_id", "dataset"])
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("rank", "dataset", identifier))
-    return merged.withColumn("merged_rank", place).where(F.col("merged_rank") <= top_n).select("query_id", "dataset", identifier, "rank", "merged_rank")
+    return ranked.withColumn("merged_rank", place).where(F.col("merged_rank") <= top_n).select("query_id", "dataset", identifier, "rank", "merged_rank")
 
 
 def page_after(ranked: DataFrame, identifier: str, size: int, after: tuple[float, object] | None = None, score: str = "score") -> DataFrame:

@@ -221,6 +221,20 @@ class Index:
         return every.join(scored, identifier, "left").select(identifier, F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
+    def batch_scores(self, queries: list[tuple[object, str]], identifier: str) -> DataFrame:
+        """(query_id, identifier, score), and the ``by`` column if there is one, for a stated set of queries at once; each term of a query counts once."""
+        asked = sorted({(k, t) for k, q in queries for t in lexical.tokenize_query(q, self.tokenizer)}, key=str)
+        kind = "bigint" if all(isinstance(k, int) for k, _ in asked) else "string"
+        book = self.spark.createDataFrame(asked, f"query_id {kind}, term string")
+        terms = self.of_terms("terms", sorted({t for _, t in asked})).select("term", "_by", "df").join(self.table("corpus"), "_by")
+        weights = terms.withColumn("_idf", lexical._idf(F.col("n_docs").cast("double"), F.col("df"))).withColumn("_mean", F.greatest(F.col("n_tokens") / F.col("n_docs"), F.lit(1.0)))
+        hits = self.of_terms("postings", sorted({t for _, t in asked})).join(F.broadcast(weights), ["term", "_by"]).join(F.broadcast(book), "term")
+        tf = F.col("tf")
+        part = F.col("_idf") * (tf * (lexical.K1 + 1)) / (tf + lexical.K1 * (1 - lexical.B + lexical.B * F.col("doc_len") / F.col("_mean")))
+        keys = ["query_id", F.col("_id").alias(identifier), *([F.col("_by").alias(self.by)] if self.by else [])]
+        return hits.groupBy(*keys).agg(F.sum(part).alias("score"))
+
+
 def index_of(documents: DataFrame, tables: list[str], identifier: str, text: str = "text", tokenizer: str = "camel", keep: tuple[str, ...] = (), by: str | None = None) -> Index:
     """The index of a frame over the table files ``tables``, built if there is none for their present state.
 
