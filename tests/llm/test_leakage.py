@@ -26,8 +26,15 @@ def test_alignment_equals_plain():
     rng = random.Random(3)
     for _ in range(60):
         a, b = ([rng.randrange(6) for _ in range(rng.randrange(0, 25))] for _ in range(2))
-        assert align(np.array(a, np.int32), np.array(b, np.int32))[0] == _plain_align(a, b)
-    assert longest_run(list("abcdx"), list("zabcd")) == 4 and longest_run([], list("a")) == 0
+        score, equal, a0, a1, b0, b1 = align(np.array(a, np.int32), np.array(b, np.int32))
+        assert score == _plain_align(a, b) == _plain_align(a[a0:a1], b[b0:b1]) and equal <= min(a1 - a0, b1 - b0)
+    far = np.array([9] * 50_000 + [1, 2, 3, 8, 4, 5] + [9] * 10, np.int32)
+    assert align(np.array([1, 2, 3, 4, 5], np.int32), far) == (9, 5, 0, 5, 50_000, 50_006)
+
+
+def test_longest_run():
+    run = lambda a, b: longest_run(np.array([ord(c) for c in a], np.int32), np.array([ord(c) for c in b], np.int32))
+    assert run("abcdx", "zabcd") == 4 and run("", "a") == 0 and run("a", "") == 0 and run("aaa", "aaaaa") == 3 and run("abab", "xababab") == 4
 
 
 def test_exact_runs_by_brute_force(spark):

@@ -62,19 +62,21 @@ def ngrams(words: list[str], n: int) -> list[str]:
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int, int]:
     """Best local alignment of two coded word sequences: (score, equal words, a_start, a_end, b_start, b_end).
 
-    Row by row; the gap along a row is a running maximum, so numpy does each row at once.
+    Row by row; the gap along a row is a running maximum, so numpy does each
+    row at once. A first pass keeps one row and finds where the best alignment
+    ends; it can't reach further back than three times the length of ``a``, as
+    each gap in ``a`` is paid for by half an equal word, so the second pass
+    holds all rows of that stretch only.
     """
-    m, n = len(a), len(b)
-    if not m or not n:
+    best, _, end = _rows(a, b, None)
+    if not best:
         return 0, 0, 0, 0, 0, 0
-    h = np.zeros((m + 1, n + 1), np.int32)
-    ramp = np.arange(1, n + 1, dtype=np.int32) * -GAP
-    for i in range(1, m + 1):
-        up = np.maximum(h[i - 1, :-1] + np.where(b == a[i - 1], MATCH, CHANGE), h[i - 1, 1:] + GAP)
-        np.maximum(up, 0, out=up)
-        h[i, 1:] = np.maximum.accumulate(up + ramp) - ramp
+    first = max(0, end - 3 * len(a))
+    h = np.zeros((len(a) + 1, end - first + 1), np.int32)
+    _rows(a, b[first:end], h)
     i, j = np.unravel_index(int(h.argmax()), h.shape)
     score, end_a, end_b, equal = int(h[i, j]), int(i), int(j), 0
+    b = b[first:end]
     while i and j and h[i, j] > 0:
         same = b[j - 1] == a[i - 1]
         if h[i, j] == h[i - 1, j - 1] + (MATCH if same else CHANGE):
@@ -84,7 +86,24 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int, int]:
             i -= 1
         else:
             j -= 1
-    return score, equal, int(i), end_a, int(j), end_b
+    return score, equal, int(i), end_a, int(j) + first, end_b + first
+
+
+def _rows(a: np.ndarray, b: np.ndarray, keep: np.ndarray | None) -> tuple[int, int, int]:
+    """(best score, its row, its column) of the alignment table, the first of equal ones; all rows go to ``keep``."""
+    n = len(b)
+    row, best, at = np.zeros(n + 1, np.int32), 0, (0, 0)
+    ramp = np.arange(1, n + 1, dtype=np.int32) * -GAP
+    for i in range(1, len(a) + 1 if n else 0):
+        up = np.maximum(row[:-1] + np.where(b == a[i - 1], MATCH, CHANGE), row[1:] + GAP)
+        np.maximum(up, 0, out=up)
+        row = np.concatenate([[0], np.maximum.accumulate(up + ramp) - ramp]).astype(np.int32)
+        if keep is not None:
+            keep[i] = row
+        j = int(row.argmax())
+        if row[j] > best:
+            best, at = int(row[j]), (i, j)
+    return best, *at
 
 
 def align_scores(a: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
@@ -152,18 +171,16 @@ class Bounds:
         return out
 
 
-def longest_run(a: list[str], b: list[str]) -> int:
-    """Most consecutive words that two sequences share."""
-    best, last = 0, [0] * (len(b) + 1)
-    at: dict[str, list[int]] = {}
-    for j, w in enumerate(b):
-        at.setdefault(w, []).append(j + 1)
-    for w in a:
-        row = [0] * (len(b) + 1)
-        for j in at.get(w, ()):
-            row[j] = last[j - 1] + 1
-            best = max(best, row[j])
-        last = row
+def longest_run(a: np.ndarray, b: np.ndarray) -> int:
+    """Most consecutive codes that two sequences share; one number per place of ``b`` is held."""
+    run, best = np.zeros(len(b) + 1, np.int32), 0
+    for code in a if len(b) else ():
+        at = np.flatnonzero(b == code)
+        here = run[at] + 1
+        run[:] = 0
+        if len(at):
+            run[at + 1] = here
+            best = max(best, int(here.max()))
     return best
 
 
@@ -227,20 +244,20 @@ def _every_pass(docs: DataFrame, tests: list[tuple[object, list[str]]], kinds: t
         coded = [np.array([codes.setdefault(x, len(codes)) for x in w], np.int32) for _, w in items]
         bounds = Bounds(coded, len(codes)) if items else None
 
-        def scored(group: list[tuple[object, list[str], np.ndarray]]) -> list[tuple]:
+        def scored(group: list[tuple[object, np.ndarray]]) -> list[tuple]:
             hopeful: dict[int, list[int]] = {}
-            for at, (_, _, text) in enumerate(group):
+            for at, (_, text) in enumerate(group):
                 for k in bounds.items(text, min_score):
                     hopeful.setdefault(k, []).append(at)
             rows = []
             for k, places in hopeful.items():
-                key, item = items[k]
-                points = align_scores(coded[k], [group[at][2] for at in places])
+                key, _ = items[k]
+                points = align_scores(coded[k], [group[at][1] for at in places])
                 for at in (places[p] for p in np.flatnonzero(points >= min_score)):
-                    d, w, text = group[at]
+                    d, text = group[at]
                     # the item's rows against the whole text
                     best, equal, *_ = align(coded[k], text)
-                    rows.append((d, key, best, equal, longest_run(item, w)))
+                    rows.append((d, key, best, equal, longest_run(coded[k], text)))
             return rows
 
         group, used = [], 0
@@ -250,8 +267,8 @@ def _every_pass(docs: DataFrame, tests: list[tuple[object, list[str]]], kinds: t
                 text = np.array([codes.get(x, len(codes)) for x in w], np.int32)
                 if MATCH * np.count_nonzero(text < len(codes)) < min_score:
                     continue
-                group.append((d, w, text))
-                used += len(w)
+                group.append((d, text))
+                used += len(text)
                 if used >= GROUP_WORDS:
                     yield from _typed(scored(group), types)
                     group, used = [], 0
@@ -320,7 +337,7 @@ def _pass(docs: DataFrame, tests: list[tuple[object, list[str]]], kinds: tuple[s
             # the item's rows against the whole text
             points, equal, a0, a1, b0, b1 = align(mine, text)
             if points >= min_score:
-                out.append((d, key, points, equal, longest_run(item, w)))
+                out.append((d, key, points, equal, longest_run(mine, text)))
         return out
 
     types = _found_types(kinds)
