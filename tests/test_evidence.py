@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vestigo.operators import audit, eligibility, evaluate, ranking
+from vestigo.operators import audit, dense, eligibility, evaluate, ranking, sampling
 from vestigo.plans import derivations
 
 
@@ -71,3 +71,38 @@ def test_running_totals_by_ranges(spark):
             want[r.i] = total
         assert got == want
     assert ranking.running_total(df.limit(0), order, F.col("w"), "t", 4).count() == 0
+
+
+@pytest.mark.parametrize("max_items", [1, 4, 50])
+def test_greedy_ranges_in_chunks_equal_one_walk(spark, max_items):
+    rng = np.random.default_rng(max_items)
+    sizes = [int(x) for x in rng.choice([0, 0, 1, 3, 9, 40, 120], 700)]
+    df = spark.createDataFrame([(i, n if n != 3 else None) for i, n in enumerate(sizes)] + [(None, 5)], "k long, n long").repartition(5)
+    want, task = [], None
+    for i, n in enumerate(0 if n == 3 else n for n in sizes):
+        if task is None or task[3] + n > 100 or task[2] >= max_items:
+            want.append(task := [i, i, 0, 0])
+        task[1], task[2], task[3] = i, task[2] + 1, task[3] + n
+    for chunk in (10, 150, 10_000):
+        got = sampling.greedy_ranges(df, "k", "n", 100, max_items, chunk_items=chunk).orderBy("task").collect()
+        assert [(r.task, r.first, r.last, r["items"], r.tokens) for r in got] == [(i, *t) for i, t in enumerate(want)]
+    assert sampling.greedy_ranges(df.limit(0), "k", "n", 100, max_items).count() == 0
+
+
+@pytest.mark.parametrize("scope", ["all", "same", "other"])
+def test_exact_neighbours_in_blocks(spark, scope):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(90, 4)).round(1)
+    rows = [(f"v{i:02d}", int(i % 3), [float(v) for v in x[i]], 1.0) for i in range(90)] + [("lonely", 9, [1.0] * 4, 1.0), ("none", 1, None, 1.0), ("nolabel", None, [1.0] * 4, 1.0)]
+    df = spark.createDataFrame(rows, "id string, label int, v array<double>, similarity double")
+    held = [r for r in rows if r[1] is not None and r[2] is not None]
+    want = {}
+    for a in held:
+        best = sorted((-round(float(np.dot(a[2], b[2])), 9), b[0]) for b in held if b[0] != a[0] and (scope == "all" or (a[1] == b[1]) == (scope == "same")))
+        want[a[0]] = [(b, -s) for s, b in best[:5]]
+    for size in (13, 1_000):
+        got = {}
+        for r in sorted(dense.exact_neighbours(df, "id", "v", "label", 5, scope, size).collect(), key=lambda r: r["rank"]):
+            got.setdefault(r.id, []).append((r.neighbour, r.similarity))
+        assert got == {k: v for k, v in want.items() if v}
+    assert dense.exact_neighbours(df.limit(0), "id", "v", "label", 5, scope).count() == 0

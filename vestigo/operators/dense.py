@@ -6,10 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Vectors in a block of an exact search.
+BLOCK_ROWS = 1_024
+
+
 def dot(a: Column, b: Column) -> Column:
     """Dot product in double precision."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -72,56 +76,53 @@ def duplicate_vectors(vectors: DataFrame, vector: str) -> DataFrame:
 
 
 def exact_neighbours(
-    vectors: DataFrame, identifier: str, vector: str, label: str | None, k: int, scope: str = "all", block_rows: int = 20_000
+    vectors: DataFrame, identifier: str, vector: str, label: str | None, k: int, scope: str = "all", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """(identifier, label, neighbour, neighbour_label, similarity, rank): exact k nearest others of every vector.
 
     ``scope``: 'all', only vectors of the 'same' label, or only of 'other'
-    labels. The collection goes past every split in blocks of bounded size, so
-    memory doesn't grow with it; each split keeps k candidates per vector.
-    Work is quadratic: meant for labelled evaluation sets.
+    labels. Vectors are cut into hash blocks, within each label for 'same';
+    every pair of blocks is one product in a task of its own, which keeps k
+    candidates per vector. Null vectors and labels don't take part; equal
+    similarities go by identifier. Work is quadratic in a label, or in all:
+    meant for labelled evaluation sets.
     """
     lab = F.col(label) if label else F.lit(0)
-    rows = vectors.where(F.col(vector).isNotNull()).select(F.col(identifier).alias("i"), lab.alias("l"), F.col(vector).alias("v"))
-    total = rows.count()
-    blocks = max(1, -(-total // block_rows))
+    rows = vectors.where(F.col(vector).isNotNull()).select(F.col(identifier).alias("i"), lab.alias("l"), F.col(vector).alias("v")).where("l is not null")
     kinds = dict(rows.dtypes)
     out_schema = f"{identifier} {kinds['i']}, label {kinds['l']}, neighbour {kinds['i']}, neighbour_label {kinds['l']}, similarity double"
-    found = None
-    for part in range(blocks):
-        mine = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == part)
-        held = mine.toPandas().sort_values("i")  # at most about block_rows rows
-        ids, labels = held["i"].to_numpy(), held["l"].to_numpy()
-        matrix = np.array(held["v"].tolist(), np.float64).reshape(len(held), -1)
-        shipped = rows.sparkSession.sparkContext.broadcast((ids, labels, matrix))
-
-        def scan(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            b_ids, b_labels, m = shipped.value
-            for b in batches:
-                if not b.num_rows or not len(b_ids):
-                    continue
-                i, l = np.array(b.column(0).to_pylist(), object), b.column(1).to_numpy(zero_copy_only=False)
-                q = b.column(2).flatten().to_numpy().astype(np.float64).reshape(b.num_rows, -1)
-                for lo in range(0, len(q), 256):
-                    s = np.round(q[lo : lo + 256] @ m.T, 9)
-                    same = l[lo : lo + 256, None] == b_labels[None, :]
-                    s[i[lo : lo + 256, None] == b_ids[None, :]] = -np.inf
-                    if scope == "same":
-                        s[~same] = -np.inf
-                    elif scope == "other":
-                        s[same] = -np.inf
-                    order = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                    got = np.take_along_axis(s, order, 1)
-                    row, col = np.nonzero(np.isfinite(got))
-                    at = order[row, col]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(i[lo + row])), pa.array(l[lo + row]), pa.array(b_ids[at]), pa.array(b_labels[at]), pa.array(got[row, col])],
-                        [identifier, "label", "neighbour", "neighbour_label", "similarity"],
-                    )
-
-        one = rows.mapInArrow(scan, out_schema)
-        found = one if found is None else found.unionByName(one)
-    from pyspark.sql import Window
-
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows))).cast("int")
+    if scope == "same":
+        sized = rows.join(rows.groupBy("l").agg(F.count("*").alias("_n")), "l").withColumn("g", F.col("l").cast("string"))
+    else:
+        sized = rows.crossJoin(F.broadcast(rows.agg(F.count("*").alias("_n")))).withColumn("g", F.lit(""))  # one row
+    held = sized.select("g", "i", "l", "v", blocks.alias("b")).withColumn("own", F.pmod(F.xxhash64("i"), "b").cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("b") - 1))
+    asks = held.select("g", F.col("own").alias("x"), others.alias("y"), F.lit(True).alias("asks"), "i", "l", "v")
+    gives = held.select("g", others.alias("x"), F.col("own").alias("y"), F.lit(False).alias("asks"), "i", "l", "v")
+
+    def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(list(batches)).sort_by("i")
+        asked = t.column("asks").to_numpy(zero_copy_only=False).astype(bool)
+        sides = []
+        for side in (asked, ~asked):
+            p = t.filter(pa.array(side))
+            sides.append((np.array(p.column("i").to_pylist(), object), p.column("l").to_numpy(zero_copy_only=False), p.column("v").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(p.num_rows, -1)))
+        (qi, ql, q), (ti, tl, m) = sides
+        for lo in range(0, len(qi) if len(ti) else 0, 256):
+            s = np.round(q[lo : lo + 256] @ m.T, 9)
+            same = ql[lo : lo + 256, None] == tl[None, :]
+            s[qi[lo : lo + 256, None] == ti[None, :]] = -np.inf
+            if scope == "other":
+                s[same] = -np.inf
+            order = np.argsort(-s, axis=1, kind="stable")[:, :k]
+            got = np.take_along_axis(s, order, 1)
+            row, col = np.nonzero(np.isfinite(got))
+            if not len(row):
+                continue
+            at = order[row, col]
+            yield pa.RecordBatch.from_arrays([pa.array(list(qi[lo + row])), pa.array(ql[lo + row]), pa.array(list(ti[at])), pa.array(tl[at]), pa.array(got[row, col])], [identifier, "label", "neighbour", "neighbour_label", "similarity"])
+
+    found = asks.unionByName(gives).groupBy("g", "x", "y").applyInArrow(product, out_schema)
     rank = F.row_number().over(Window.partitionBy(identifier).orderBy(F.desc("similarity"), "neighbour"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from datetime import UTC, datetime
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,8 +22,10 @@ from vestigo.functions.jsons import REFUSED, json_reader
 STEP_MS = 300_000
 #: Windows in a time shard: one day of five-minute windows.
 SHARD_WINDOWS = 288
-#: Shards of a gap that are listed together; longer gaps are cut into such steps first.
+#: Shards of a gap that are filled together.
 STEP_SHARDS = 50_000
+#: Windows written at once.
+FILL_ROWS = 100_000
 
 
 def window_cells(readings: DataFrame, series: list[str], time_ms: str, value: str, step: int = STEP_MS) -> DataFrame:
@@ -47,17 +50,37 @@ def window_cells(readings: DataFrame, series: list[str], time_ms: str, value: st
 
 
 def _spread(gaps: DataFrame, series: list[str], step: int, shard_ms: int) -> DataFrame:
-    """The windows strictly between ``_from`` and ``_to``; by steps of shards, then by shard, then by window, so no array grows with the gap."""
+    """The windows strictly between ``_from`` and ``_to``: gaps are cut into steps of whole shards, and each step's windows are written in batches, so that memory doesn't grow with a gap."""
     shard = lambda c: F.floor(c / F.lit(shard_ms))
     first, last = F.col("_from") + step, F.col("_to") - step
-    wide = gaps.where(F.col("_to") - F.col("_from") > step).select(*series, "_carry", first.alias("_a"), last.alias("_b"), shard(first).alias("_s0"), shard(last).alias("_s1"))
-    steps = F.explode(F.sequence("_s0", "_s1", F.lit(STEP_SHARDS).cast("long"))).alias("_s0")
-    by_step = wide.select(*series, "_carry", "_a", "_b", "_s1", steps)
-    shards = F.explode(F.sequence("_s0", F.least(F.col("_s1"), F.col("_s0") + (STEP_SHARDS - 1)))).alias("_s")
-    by_shard = by_step.select(*series, "_carry", "_a", "_b", shards)
+    wide = gaps.where(F.col("_to") - F.col("_from") > step).select(*series, "_carry", first.alias("_a"), last.alias("_b"))
+    starts = F.explode(F.sequence(shard(F.col("_a")), shard(F.col("_b")), F.lit(STEP_SHARDS).cast("long"))).alias("_s")
     low = F.greatest(F.col("_a"), F.col("_s") * shard_ms)
-    high = F.least(F.col("_b"), F.col("_s") * shard_ms + (shard_ms - step))
-    return by_shard.select(*series, "_carry", F.explode(F.sequence(low, high, F.lit(step).cast("long"))).alias("window_start_ms"))
+    # the first step begins within the gap's first shard, every other one at the border of a shard
+    high = F.least(F.col("_b"), (F.col("_s") + STEP_SHARDS) * shard_ms - step)
+    steps = wide.select(*series, "_carry", "_a", "_b", starts).select(*series, "_carry", low.alias("_a"), high.alias("_b"))
+    names = [*series, "_carry"]
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            a = b.column(len(names)).to_numpy()
+            left = (b.column(len(names) + 1).to_numpy() - a) // step + 1
+            row, done = 0, 0
+            while row < len(left):
+                rows, at, count, room = [], [], [], FILL_ROWS
+                while row < len(left) and room:
+                    n = min(int(left[row]) - done, room)
+                    rows.append(row), at.append(int(a[row]) + done * step), count.append(n)
+                    room, done = room - n, done + n
+                    if done == left[row]:
+                        row, done = row + 1, 0
+                count = np.array(count)
+                place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                pick = pa.array(np.repeat(rows, count))
+                yield pa.RecordBatch.from_arrays([*[b.column(i).take(pick) for i in range(len(names))], pa.array(np.repeat(at, count) + place * step)], [*names, "window_start_ms"])
+
+    kinds = dict(steps.dtypes)
+    return steps.mapInArrow(fill, ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", window_start_ms long")
 
 
 def gaps_between(cells: DataFrame, series: list[str], step: int = STEP_MS, shard_windows: int = SHARD_WINDOWS) -> DataFrame:

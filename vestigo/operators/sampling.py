@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from vestigo.operators.ranking import global_rank, running_total
 
 
+#: Items of a chunk that one task cuts into ranges.
+CHUNK_ITEMS = 200_000
+
+
 def priority(seed: str, *parts: Column) -> Column:
     """SHA-256 of the seed and the parts, NUL-separated; small comes first."""
     return F.sha2(F.concat_ws("\x00", F.lit(seed), *[p.cast("string") for p in parts]), 256)
@@ -112,38 +116,77 @@ def length_buckets(rows: DataFrame, tokens: str, edges: tuple[int, ...] = (128,
     return rows.where(F.col(tokens).isNotNull()).groupBy(label.alias("bucket")).agg(F.count("*").alias("items"), F.sum(tokens).alias("tokens"))
 
 
-def greedy_ranges(rows: DataFrame, order: str, tokens: str, max_tokens: int, max_items: int) -> DataFrame:
+def _chain(before: np.ndarray, at: int, max_tokens: int, max_items: int) -> list[int]:
+    """Starts of the greedy tasks from item ``at`` on; ``before`` are the running sums, with a leading 0."""
+    n, starts = len(before) - 1, []
+    while at < n:
+        starts.append(at)
+        at = max(at + 1, min(at + max_items, int(np.searchsorted(before, before[at] + max_tokens, "right")) - 1))
+    return starts
+
+
+def greedy_ranges(rows: DataFrame, order: str, tokens: str, max_tokens: int, max_items: int, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
     """(task, first, last, items, tokens): consecutive items, in order, until a task would pass either limit; an item above the limit is a task of its own.
 
-    Greedy ranges depend on everything before them, so one task walks the
-    sizes in order: two numbers per item go there, nothing else.
+    Null orders don't take part, null sizes count 0, equal orders follow each
+    other by size. Where a task ends depends on everything before it, but of a
+    chunk of items only on how many of its first ones the task before it still
+    takes: at most ``max_items``, and no more than fit ``max_tokens``. So each
+    chunk works out what it would leave over for every such number, these few
+    numbers are chained up, and then all chunks are cut at once.
     """
     kind = dict(rows.dtypes)[order]
     slim = rows.select(F.col(order).alias("k"), F.coalesce(F.col(tokens), F.lit(0)).cast("long").alias("n")).where("k is not null")
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, first, last, items, total = 0, None, None, 0, 0
-        out: list[tuple] = []
-        for b in batches:
-            for k, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if items and (total + n > max_tokens or items >= max_items):
-                    out.append((task, first, last, items, total))
-                    task, items, total = task + 1, 0, 0
-                if not items:
-                    first = k
-                last, items, total = k, items + 1, total + n
-            if len(out) > 10_000:
-                yield _rows(out)
-                out = []
-        if items:
-            out.append((task, first, last, items, total))
-        if out:
-            yield _rows(out)
-
-    def _rows(out: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["task", "first", "last", "items", "tokens"])
-
-    return slim.repartition(1).sortWithinPartitions("k").mapInArrow(walk, f"task long, first {kind}, last {kind}, items long, tokens long")
+    size = max(chunk_items, 2 * max_items)
+    placed = global_rank(slim, [F.col("k"), F.col("n")]).withColumn("chunk", F.floor((F.col("rank") - 1) / F.lit(size)).cast("long"))
+    many = slim.count() > size
+
+    def sums(t: pa.Table) -> tuple[pa.Table, np.ndarray]:
+        t = t.sort_by("rank")
+        return t, np.concatenate([[0], np.cumsum(t.column("n").to_numpy())])
+
+    def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each number of items already taken: tasks begun, and the items and tokens of the last one; with the sum of these first items."""
+        t, before = sums(pa.Table.from_batches(list(batches)))
+        out = []
+        for taken in range(min(max_items, len(before) - 1) + 1):
+            if before[taken] > max_tokens and taken:
+                break
+            starts = _chain(before, taken, max_tokens, max_items)
+            last = starts[-1] if starts else None
+            out.append((t.column("chunk")[0].as_py(), taken, int(before[taken]), len(starts), len(before) - 1 - last if starts else 0, int(before[-1] - before[last]) if starts else 0))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["chunk", "taken", "sum", "begun", "items", "tokens"])
+
+    entry: dict[int, tuple[int, int]] = {}
+    if many:
+        left: dict[int, dict[int, tuple]] = {}
+        found = placed.groupBy("chunk").applyInArrow(summary, "chunk long, taken long, sum long, begun long, items long, tokens long")
+        for r in found.collect():  # max_items + 1 rows per chunk at most
+            left.setdefault(r.chunk, {})[r.taken] = (r["sum"], r.begun, r["items"], r.tokens)
+        task, items, held = 0, 0, 0
+        for chunk in sorted(left):
+            taken = max((k for k, v in left[chunk].items() if task and items + k <= max_items and held + v[0] <= max_tokens), default=0)
+            entry[chunk] = (taken, task)
+            first, begun, last_items, last_tokens = left[chunk][taken]
+            task += begun
+            items, held = (last_items, last_tokens) if begun else (items + taken, held + first)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t, before = sums(pa.Table.from_batches(list(batches)))
+        taken, task = entry.get(t.column("chunk")[0].as_py(), (0, 0))
+        starts = np.array(([0] if taken else []) + _chain(before, taken, max_tokens, max_items), np.int64)
+        ends = np.append(starts[1:], len(before) - 1)
+        number = np.arange(len(starts)) + task - (1 if taken else 0)
+        keys = t.column("k")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(number), keys.take(pa.array(starts)).combine_chunks(), keys.take(pa.array(ends - 1)).combine_chunks(), pa.array(ends - starts), pa.array(before[ends] - before[starts])], ["task", "first", "last", "items", "tokens"]
+        )
+
+    parts = placed.groupBy("chunk").applyInArrow(cut, f"task long, first {kind}, last {kind}, items long, tokens long")
+    if not many:
+        return parts
+    # a task that runs across the end of a chunk has a part in each
+    return parts.groupBy("task").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("items").alias("items"), F.sum("tokens").alias("tokens"))
 
 
 def dense_ordinals(rows: DataFrame, key: str) -> DataFrame:
