@@ -108,3 +108,18 @@ def test_edited_copy_is_found(spark):
     df = spark.createDataFrame([(1, copy), (2, "nothing of the kind stands in here at all")], "doc_id long, text string")
     found = leaked_items(df, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
     assert [(r.doc_id, r.item_id) for r in found] == [(1, 7)] and found[0].run_words < 12 and found[0].equal_words >= 13
+
+
+def test_edited_copies_of_the_items_are_found(spark, folder):
+    """Copies of every item with one word in 3, 4, 5 or 6 changed, between other words."""
+    words = word_normaliser()
+    items = spark.read.parquet(f"{folder}/eval_items.parquet").select("item_id", "text")
+    docs = []
+    for item, text in items.collect():
+        for step in (3, 4, 5, 6):
+            body = [f"changed{item}" if k % step == step - 1 else w for k, w in enumerate(words(text))]
+            docs.append((item * 10 + step, " ".join(["before", "it", *body, "and", "after"])))
+    found = {(r.doc_id, r.item_id) for r in leaked_items(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    for step in (3, 4, 5, 6):
+        asked = [(d, d // 10) for d, _ in docs if d % 10 == step]
+        assert sum(x in found for x in asked) >= 0.95 * len(asked)

@@ -109,6 +109,8 @@ def test_recall_when_few_shards_are_asked(spark):
     assert len(held) >= 16 and plan.probes == 6 and held.max() <= 1.7 * 700
     df = spark.createDataFrame([(i, f"d{i:05d}", [float(v) for v in x[i]], "") for i in range(len(x))], SCHEMA)
     found = most_similar(df, dimensions=48, queries=F.col("vector_ordinal") % 20 == 0, home=700, probes=6).collect()
+    measured = nb.recall(spark.createDataFrame(found), df, dimensions=48, queries=1_000).first()
+    assert (measured.queries, measured.neighbours) == (600, 6_000) and measured.recall >= 0.9
     got = {}
     for r in found:
         got.setdefault(int(r.document_id_a[1:]), set()).add(int(r.document_id_b[1:]))
@@ -118,6 +120,7 @@ def test_recall_when_few_shards_are_asked(spark):
     true = np.argsort(-s, axis=1)[:, :10]
     for rows in (np.arange(600), np.flatnonzero(at[::20] == 0)):  # all queries, and those of the crowded cluster
         assert len(rows) > 100 and _recall([got[20 * i] for i in rows], true[rows]) >= 0.9
+    assert abs(measured.recall - _recall([got[20 * i] for i in range(600)], true)) < 0.002
 
 
 def test_parts_and_copies_change_nothing_but_the_layout(spark, monkeypatch):

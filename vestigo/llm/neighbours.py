@@ -286,3 +286,39 @@ def mutual_pairs(found: DataFrame, identifier: str = "document_id") -> DataFrame
     """Each pair of ``most_similar`` once, the smaller identifier first."""
     a, b = F.col(f"{identifier}_a"), F.col(f"{identifier}_b")
     return found.select(F.least(a, b).alias(f"{identifier}_a"), F.greatest(a, b).alias(f"{identifier}_b")).distinct()
+
+
+def recall(found: DataFrame, vectors: DataFrame, identifier: str = "document_id", vector: str = "vector", dimensions: int = 96, k: int = 10, queries: int = 500) -> DataFrame:
+    """(queries, neighbours, hits, recall) of ``most_similar`` results against brute force, for ``queries`` of the asked identifiers drawn by hash.
+
+    A neighbour is a hit if it is as similar as the true k-th one, but for the
+    rounding of the fixed-point copies. The drawn vectors, a bounded set, go
+    past all rows; each split keeps k candidates per query.
+    """
+    a, b = f"{identifier}_a", f"{identifier}_b"
+    v = F.col(vector)
+    rows = vectors.where(F.col(identifier).isNotNull() & usable(v, dimensions)).select(F.col(identifier).alias("id"), v.alias("v"))
+    drawn = found.select(F.col(a).alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(queries)
+    first = rows.join(F.broadcast(drawn), "id").groupBy("id").agg(F.min("v").alias("v")).orderBy("id").toArrow()
+    names = first.column("id").to_pylist()
+    asked = _unit(first.column("v").combine_chunks(), dimensions) if names else np.zeros((0, dimensions), np.float32)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches if names else ():
+            if not batch.num_rows:
+                continue
+            s = asked @ _unit(batch.column(1), dimensions).T
+            ids = np.array(batch.column(0).to_pylist(), object)
+            s[np.array(names, object)[:, None] == ids[None, :]] = -2
+            keep = min(4 * k, s.shape[1])  # rows of an identifier may repeat
+            top = np.argpartition(-s, keep - 1, axis=1)[:, :keep]
+            q = np.repeat(np.arange(len(names)), keep)
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(names, object)[q].tolist()), pa.array(ids[top.ravel()].tolist()), pa.array(np.take_along_axis(s, top, 1).ravel(), pa.float32())], ["a", "b", "s"])
+
+    kind = dict(rows.dtypes)["id"]
+    true = rows.mapInArrow(scan, f"a {kind}, b {kind}, s float").where("s > -2").groupBy("a", "b").agg(F.max("s").alias("s"))
+    ranked = true.withColumn("_r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("s"), "b"))).where(F.col("_r") <= k)
+    bound = ranked.groupBy("a").agg(F.min("s").alias("bound"), F.count("*").alias("n"))
+    got = found.select(F.col(a).alias("a"), F.col(b).alias("b"), F.col("similarity").alias("s")).join(F.broadcast(drawn.withColumnRenamed("id", "a")), "a")
+    each = bound.join(got, "a", "left").groupBy("a", "n").agg(F.least(F.col("n"), F.count_if(F.col("s") >= F.col("bound") - 1e-4)).alias("hits"))
+    return each.agg(F.count("*").alias("queries"), F.sum("n").alias("neighbours"), F.sum("hits").alias("hits")).withColumn("recall", F.round(F.col("hits") / F.col("neighbours"), 4))

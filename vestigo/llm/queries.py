@@ -105,6 +105,18 @@ def p1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("similarity", F.round(F.col("similarity").cast("double"), 4))
 
 
+@REGISTRY.query(
+    "p1_recall",
+    """SELECT least(500, count(DISTINCT document_id)) AS queries, TRUE AS at_least_nine_tenths FROM vectors WHERE vector_ordinal % 100 = 0 AND document_id IS NOT NULL AND vector IS NOT NULL AND len(vector) = 96
+    AND len(list_filter(vector, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(vector, lambda x: x != 0)) > 0""",
+)
+def p1_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the open search finds nine tenths of the true ten nearest, by brute force over all rows for 500 of its queries."""
+    vectors = spread(table(spark, folder, "vectors"))
+    found = neighbours.most_similar(vectors, queries=F.col("vector_ordinal") % 100 == 0)
+    return neighbours.recall(found, vectors).select("queries", (F.col("recall") >= 0.9).alias("at_least_nine_tenths"))
+
+
 def _token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", packing.regex_token_count(F.col("text")).alias("n_tokens"))
 
