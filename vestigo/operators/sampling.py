@@ -29,6 +29,12 @@ def hash_min(rows: DataFrame, group: str, identifier: str, most: int, seed: str
     return r.withColumn("position", F.row_number().over(w)).where(F.col("position") <= most)
 
 
+def min_k(rows: DataFrame, identifier: str, k: int, seed: str = "sample") -> DataFrame:
+    """The ``k`` rows of smallest priority of all, with their ``ordinal`` 1..k; each split passes on k rows at most. Null identifiers don't take part."""
+    few = rows.where(F.col(identifier).isNotNull()).withColumn("_p", priority(seed, F.col(identifier))).orderBy("_p", identifier).limit(k)
+    return few.withColumn("ordinal", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_p", identifier))).drop("_p")
+
+
 def largest_remainder(counts: dict[str, int], total: int) -> dict[str, int]:
     """Quotas in proportion to counts: floors, at least 1 each, the rest by largest remainder, then name; never above a count."""
     counts = {k: n for k, n in counts.items() if n > 0}

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vestigo.functions import projection
+from vestigo.functions import text as tx
 from vestigo.operators import audit, dense, eligibility, evaluate, geometry, lexical, sampling
 from vestigo.plans import derivations, search
 from vestigo.plans.evaluation_queries import _neighbours, _nn_sql
@@ -178,3 +183,34 @@ def run_summary(spark: SparkSession, folder: str) -> DataFrame:
     """A planned run in one row."""
     tasks = sampling.greedy_ranges(table(spark, folder, "documents").select("doc_id", F.length("text").alias("n")), "doc_id", "n", 20_000, 64)
     return tasks.agg(F.count("*").alias("tasks"), F.sum("items").alias("items"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("most_tokens"), F.max("items").alias("most_items"), F.round(F.avg("tokens") / 20_000, 6).alias("fill"))
+
+
+@REGISTRY.query("parity_sample", "SELECT doc_id, row_number() OVER (ORDER BY sha256('parity' || chr(0) || doc_id), doc_id)::INT AS ordinal FROM documents WHERE doc_id IS NOT NULL QUALIFY ordinal <= 200")
+def parity_sample(spark: SparkSession, folder: str) -> DataFrame:
+    return sampling.min_k(table(spark, folder, "documents"), "doc_id", 200, "parity").select("doc_id", "ordinal")
+
+
+@REGISTRY.query("projection_parity", "SELECT least(200, count(*)) AS sampled, least(200, count(*)) AS equal FROM documents WHERE text IS NOT NULL")
+def projection_parity(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the row-wise and the column-wise redaction agree on a sample of smallest hashes."""
+    few = sampling.min_k(table(spark, folder, "documents").where("text is not null"), "doc_id", 200, "parity").select("doc_id", "text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = projection.sanitizer()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([one(t) for t in b.column(1).to_pylist()], pa.string())], ["doc_id", "text", "by_row"])
+
+    both = few.mapInArrow(clean, "doc_id long, text string, by_row string")
+    return both.agg(F.count("*").alias("sampled"), F.count_if(F.col("by_row") == tx.sanitize(F.col("text"))).alias("equal"))
+
+
+@REGISTRY.query(
+    "derived_vectors",
+    """WITH p AS (SELECT vec_id, list_transform(embedding[1:32]::DOUBLE[], lambda x: x) AS h FROM embeddings), u AS (SELECT vec_id, list_transform(h, lambda x: (x / sqrt(list_dot_product(h, h)))::FLOAT::DOUBLE) AS u FROM p)
+    SELECT vec_id, len(u)::INT AS dimensions, round(list_sum(u), 5) AS total, abs(sqrt(list_dot_product(u, u)) - 1) <= 1e-4 AS unit FROM u""",
+)
+def derived_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The vector set of the first 32 components, brought back to length 1."""
+    short = table(spark, folder, "embeddings").select("vec_id", dense.prefix_unit(F.col("embedding"), 32).alias("u"))
+    total = F.aggregate("u", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return short.select("vec_id", F.size("u").alias("dimensions"), F.round(total, 5).alias("total"), (F.abs(dense.norm(F.col("u")) - 1) <= 1e-4).alias("unit"))

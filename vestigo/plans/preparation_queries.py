@@ -64,6 +64,13 @@ def census(spark: SparkSession, folder: str) -> DataFrame:
     return prepare.census(_projected(spark, folder), documents=False)
 
 
+@REGISTRY.query("prepared_closure", f"SELECT count(*) AS grouped_events, 0::BIGINT AS variants, 0::BIGINT AS unnamed FROM (SELECT {_REASON} AS reason FROM typed_events) WHERE reason = 'projected_by_generic_typed_field_policy'")
+def prepared_closure(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents' occurrences add up to the direct events, no identity has two texts, and each has a text."""
+    d = prepared_documents(spark, folder)
+    return d.agg(F.sum("occurrence_count").alias("grouped_events"), F.count_if(F.col("variants") > 1).alias("variants"), F.count_if(F.col("semantic_text").isNull()).alias("unnamed"))
+
+
 @REGISTRY.query("census_documents")
 def census_documents(spark: SparkSession, folder: str) -> DataFrame:
     return prepare.census(_projected(spark, folder, "text"))
@@ -89,7 +96,7 @@ def timestamp_accounting(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@REGISTRY.query("source_rows")
+@REGISTRY.query("source_rows", "SELECT event_id, 'base_occurrences.parquet' AS source_file, row_number() OVER () - 1 AS source_row FROM base_occurrences")
 def source_rows(spark: SparkSession, folder: str) -> DataFrame:
     return with_position(table(spark, folder, "base_occurrences")).select("event_id", "source_file", "source_row")
 
