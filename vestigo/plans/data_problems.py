@@ -131,7 +131,7 @@ def p6_table_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _LINKS_SQL = r"""
-WITH doc AS (SELECT row_number() OVER () AS d, typed_event_json AS j FROM (SELECT DISTINCT * FROM typed_events) WHERE json_valid(typed_event_json)),
+WITH doc AS (SELECT row_number() OVER () AS d, typed_event_json AS j FROM typed_events WHERE json_valid(typed_event_json)),
 obj AS (SELECT d, regexp_replace(fullkey, '(\[\d+\])+$', '') AS s, fullkey LIKE '%]' AND regexp_replace(fullkey, '(\[\d+\])+$', '') != '$' AS many FROM doc, json_tree(j) t WHERE t.type = 'OBJECT'),
 el AS (SELECT d, many, CASE WHEN s = '$' THEN '$' ELSE regexp_extract(s, '([^.]+)$', 1) END AS name,
   CASE WHEN s = '$' THEN NULL ELSE regexp_extract(regexp_replace(regexp_replace(s, '\.[^.]+$', ''), '(\[\d+\])+$', ''), '([^.]+)$', 1) END AS parent FROM obj),
@@ -142,16 +142,20 @@ SELECT name AS table_name, count(*) AS n_rows, count(parent) AS n_child_rows, 0:
 
 @REGISTRY.query("p6_links", _LINKS_SQL)
 def p6_links(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of every table, those with a parent, and those whose parent row isn't there."""
-    events = spread(table(spark, folder, "typed_events")).distinct()
+    """Rows of every table, those with a parent, and references to rows of it that aren't there.
+
+    Each row leaves a mark for itself and one for its parent, so the events are
+    cut up once and marks of one row meet in a sum.
+    """
+    events = spread(table(spark, folder, "typed_events"))
     rows = nested_tables.shred(events, nested_tables.schema_graph(events))
-    links = rows.select("event_id", "table_name", "row_no", "parent_table", "parent_row_no", F.col("event_id").isNull().alias("nameless"))
-    up = rows.select("event_id", F.col("table_name").alias("parent_table"), F.col("row_no").alias("parent_row_no"), F.lit(1).alias("there")).distinct()
-    return links.join(up, ["event_id", "parent_table", "parent_row_no"], "left").groupBy("table_name").agg(
-        F.count("*").alias("n_rows"),
-        F.count("parent_row_no").alias("n_child_rows"),
-        F.count_if(F.col("parent_row_no").isNotNull() & F.col("there").isNull() & ~F.col("nameless")).alias("orphans"),
-    )
+    child = F.col("parent_row_no").isNotNull().cast("long")
+    zero = F.lit(0).cast("long")
+    own = F.struct(F.col("table_name").alias("t"), F.col("row_no").alias("r"), F.lit(1).cast("long").alias("own"), child.alias("child"), zero.alias("refs"))
+    up = F.struct(F.col("parent_table").alias("t"), F.col("parent_row_no").alias("r"), zero.alias("own"), zero.alias("child"), child.alias("refs"))
+    marks = rows.select("event_id", F.explode(F.array(own, up)).alias("m")).select("event_id", "m.*").where("t is not null")
+    met = marks.groupBy("event_id", "t", "r").agg(F.sum("own").alias("own"), F.sum("child").alias("child"), F.sum("refs").alias("refs"))
+    return met.groupBy(F.col("t").alias("table_name")).agg(F.sum("own").alias("n_rows"), F.sum("child").alias("n_child_rows"), F.sum(F.when(F.col("own") == 0, F.col("refs")).otherwise(0)).alias("orphans"))
 
 
 @REGISTRY.query("p6_event_table")
