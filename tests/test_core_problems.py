@@ -201,6 +201,15 @@ def test_nested_tables_lose_nothing(spark):
     assert nt.missing_participants(df.limit(0), held).count() == 0
 
 
+def test_lists_in_lists_keep_their_scalars(spark):
+    deep = "[" * 3_000 + "7" + "]" * 3_000
+    texts = ['{"a": [[1, 2], [], [{"b": 3}, "x"]], "c": [[]], "d": [{"e": 1}], "f": []}', '{"g": %s}' % deep]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "event_id string, typed_event_json string")
+    rows = {(r.event_id, r.table_name): r.cells for r in nt.shred(df, nt.schema_graph(df)).collect()}
+    assert rows["0", "$"] == {"a": 'l[[1, 2], [], ["x"]]', "c": "l[[]]", "f": "l[]"} and rows["0", "a"] == {"b": "n3"} and rows["0", "d"] == {"e": "n1"}
+    assert rows["1", "$"] == {"g": "l" + deep}
+
+
 def test_flat_table_values(spark):
     df = spark.createDataFrame([("1", json.dumps({"u": {"v": 1, "w": [1, 2]}, "n": None, "s": "x"}))], "event_id string, typed_event_json string")
     graph = nt.schema_graph(df)

@@ -300,10 +300,11 @@ def test_audits(spark):
 def test_layouts_and_sinks(spark, tmp_path):
     flat = spark.createDataFrame(
         [("e1", "s", '["a.empty"]', 5, None, "t\"x", '{"k":[1]}'), ("e2", "s", None, None, None, None, None)],
-        "event_id string, support_ref string, empty_object_paths string, `event.a.b` long, `event.a.c` string, `event.d` string, `event.unmapped` string",
+        "event_id string, support_ref string, empty_object_paths string, `event.a.b` long, `event.a.c` string, `event.d` string, `event.ocsf.unmapped` string",
     )
     got = [json.loads(r.typed_event_json) for r in snapshots.reassemble(flat).orderBy("event_id").collect()]
-    assert got == [{"a": {"b": 5}, "d": 't"x', "unmapped": {"k": [1]}}, {}]
+    assert got == [{"a": {"b": 5}, "d": 't"x', "ocsf": {"unmapped": {"k": [1]}}}, {}]
+    assert snapshots.holds_json("event.header") and not snapshots.holds_json("event.unmapped") and not snapshots.holds_json("event.ocsf.status")
     with pytest.raises(ValueError):
         snapshots._tree(["event.a", "event.a.b"])
     events = spark.createDataFrame([("e1", "{}", "s")], snapshots.EVENT_SCHEMA)

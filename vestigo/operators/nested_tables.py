@@ -173,7 +173,7 @@ def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json",
     """All rows of all tables, in the columns of ``ROW_SCHEMA``.
 
     A cell is one letter for its JSON type (s text, n number, b boolean, z
-    null, l array of scalars as JSON) and the value. ``only`` names the leaf
+    null, l array as JSON, without the objects in it) and the value. ``only`` names the leaf
     fields that are wanted; rows without any of them aren't sent on. ``carry``
     names JSON pointers whose cells the rows of a table shall hold even if they
     lead through objects with a table of their own. Texts
@@ -197,6 +197,31 @@ def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json",
             return "btrue" if v else "bfalse"
         return "n" + codec.dumps(v)
 
+    def list_text(v: list) -> str | None:
+        """A list's scalars as JSON, with the lists they stand in and without objects, which have rows; None if it holds objects only."""
+        out, held, objects = ["["], False, False
+        stack, first = [iter(v)], [True]
+        while stack:
+            for x in stack[-1]:
+                if type(x) is dict:
+                    objects = True
+                    continue
+                if not first[-1]:
+                    out.append(", ")
+                first[-1] = False
+                if type(x) is list:
+                    out.append("[")
+                    stack.append(iter(x))
+                    first.append(True)
+                    break
+                held = True
+                out.append(codec.dumps(x))
+            else:
+                out.append("]")
+                stack.pop()
+                first.pop()
+        return "".join(out) if held or not objects else None
+
     def pointer(k: str) -> str:
         return k.replace("~", "~0").replace("/", "~1") if "~" in k or "/" in k else k
 
@@ -235,12 +260,11 @@ def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json",
                                 else:
                                     rows.append((v, k, "", name, mine))
                             elif kind is list:
-                                nested = any(type(x) in (dict, list) for x in v)
-                                if nested:
+                                if any(type(x) in (dict, list) for x in v):
                                     rows.append((v, k, "", name, mine))
-                                if (wanted is None or k in wanted) and (not nested or any(type(x) not in (dict, list) for x in v)):
+                                if (wanted is None or k in wanted) and (said := list_text(v)) is not None:
                                     keys.append(prefix + pointer(k))
-                                    items.append("l" + codec.dumps([x for x in v if type(x) not in (dict, list)]))
+                                    items.append("l" + said)
                             elif wanted is None or k in wanted:
                                 keys.append(prefix + pointer(k))
                                 items.append(cell(v))
@@ -251,9 +275,9 @@ def shred(events: DataFrame, graph: SchemaGraph, json: str = "typed_event_json",
                                 break
                             v = v[k]
                         else:
-                            if type(v) is list and (not v or any(type(x) not in (dict, list) for x in v)):
+                            if type(v) is list and (said := list_text(v)) is not None:
                                 keys.append(path)
-                                items.append("l" + codec.dumps([x for x in v if type(x) not in (dict, list)]))
+                                items.append("l" + said)
                             elif type(v) not in (dict, list):
                                 keys.append(path)
                                 items.append(cell(v))

@@ -10,8 +10,32 @@ from pyspark.sql import types as T
 
 EVENT_SCHEMA = "event_id STRING, typed_event_json STRING, support_ref STRING"
 PREFIX = "event."
-#: Flattened columns of these last names hold JSON text, not a value.
-OPEN_OBJECTS = ("unmapped", "raw", "enrichments", "request_parameters")
+
+# Flattened columns that hold JSON text, not a value; by whole name, or by last name below some objects.
+OPEN_COLUMNS = [
+    "event.authorization_grants", "event.header", "event.semantics", "event.state_transitions",
+    "event.workload_endpoints",
+]
+OPEN_PARENTS = [
+    "event.ocsf.", "event.databucket.", "event.resource_details.", "event.process.", "event.src_endpoint.",
+    "event.dst_endpoint.",
+]
+OPEN_NAMES = [
+    "agent_list", "ancestry", "anomaly_analyses", "answers", "attacks", "auth_factors", "authorizations",
+    "cis_controls", "containers", "data", "data_classifications", "discovery_details", "edges",
+    "endpoint_connections", "enrichments", "environment_variables", "evidences", "extension_list", "extensions",
+    "files", "fingerprints", "gpu_info_list", "groups", "hashes", "http_cookies", "http_headers",
+    "ja4_fingerprint_list", "kb_article_list", "kill_chain", "loggers", "malware", "manager", "metrics",
+    "network_interfaces", "nodes", "observables", "osint", "packet_list", "parameters", "parent_process", "policies",
+    "programmatic_credentials", "proxy_endpoint", "related_analytics", "related_events", "resources", "sans",
+    "scim_group_schema", "scim_user_schema", "signatures", "software_components", "tags", "tickets",
+    "tls_extension_list", "traits", "transformation_info_list", "unmapped", "urls", "vulnerabilities", "xattributes",
+]
+
+
+def holds_json(column: str) -> bool:
+    """Whether a flattened column holds an open object or a list of objects as JSON text."""
+    return column in OPEN_COLUMNS or column.rsplit(".", 1)[-1] in OPEN_NAMES and column.startswith(tuple(OPEN_PARENTS))
 
 
 def read_relation(spark: SparkSession, path: str, relation: str, columns: list[str] | None = None) -> DataFrame:
@@ -60,7 +84,7 @@ def reassemble(df: DataFrame) -> DataFrame:
 
     Columns event.a.b become nested objects; null values are left out, as are
     objects that hold none, unless ``empty_object_paths`` lists them. Columns
-    of open objects hold JSON text and are put in as it stands.
+    of open objects (``holds_json``) hold JSON text and are put in as it stands.
     """
     names = [f.name for f in df.schema.fields if f.name.startswith(PREFIX)]
 
@@ -71,7 +95,7 @@ def reassemble(df: DataFrame) -> DataFrame:
 
     def text(node: dict | str, path: str) -> Column:
         if isinstance(node, str):
-            if node.rsplit(".", 1)[-1] in OPEN_OBJECTS:
+            if holds_json(node):
                 return quoted(node)
             held = F.to_json(F.struct(quoted(node).alias("v")), {"ignoreNullFields": "false"})
             return F.when(quoted(node).isNotNull(), F.substr(held, F.lit(6), F.length(held) - 6))
