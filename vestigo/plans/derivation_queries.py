@@ -38,7 +38,20 @@ def derived_entity_documents(spark: SparkSession, folder: str) -> DataFrame:
     return derivations.entity_documents(table(spark, folder, "entities"), table(spark, folder, "participants"), events)
 
 
-@REGISTRY.query("derivation_coverage")
+@REGISTRY.query(
+    "derivation_coverage",
+    r"""WITH one AS (SELECT event_id, min(lower(trim(relation_name))) AS r, min(typed_event_json) AS j FROM typed_events WHERE event_id IS NOT NULL GROUP BY 1),
+    v AS (SELECT event_id, r, CASE WHEN json_valid(j) AND json_type(CASE WHEN json_valid(j) THEN j ELSE 'null' END::JSON) = 'OBJECT' THEN j::JSON END AS v FROM one),
+    t AS (SELECT *, coalesce(v->>'$.header.time', v->>'$.ocsf.time', v->>'$.time', v->>'$.event_time') AS raw FROM v),
+    f AS (SELECT *, CASE WHEN r = 'ocsf_ext_livefire_system_metric' THEN 'metric_window' WHEN r IN ('ocsf_network_activity', 'ocsf_dns_activity', 'ocsf_http_activity') THEN 'network_window'
+        WHEN r IN ('ocsf_cloud_resources_inventory_info', 'ocsf_ext_livefire_configuration_snapshot', 'ocsf_inventory_info', 'ocsf_user_inventory') THEN 'state_transition' END AS family,
+      CASE WHEN regexp_matches(raw, '^\s*\d{1,17}\s*$') THEN TRUE WHEN regexp_matches(raw, '^\s*\d{4}-\d\d-\d\dT.*(Z|[+-]\d\d:\d\d)\s*$') THEN coalesce(epoch_ms(try_cast(trim(raw) AS TIMESTAMPTZ)) >= 0, FALSE) ELSE FALSE END AS timed,
+      event_id IN (SELECT event_id FROM participants WHERE entity_id IS NOT NULL AND event_id IS NOT NULL AND role IS NOT NULL) AS scoped FROM t)
+    SELECT family, CASE WHEN v IS NULL THEN 'typed_event_unavailable' WHEN raw IS NULL THEN 'missing_time' WHEN NOT timed THEN 'invalid_time' WHEN NOT scoped THEN 'missing_canonical_scope'
+      WHEN family = 'metric_window' AND NOT coalesce(json_type(v, '$.value_milli') IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'BOOLEAN') OR json_type(v, '$.value_milli') = 'VARCHAR' AND regexp_matches(v->>'$.value_milli', '^\s*[+-]?\d+\s*$'), FALSE) THEN 'missing_value'
+      WHEN family = 'state_transition' AND coalesce(v->>'$.state', v->>'$.status', v->>'$.status_code', v->>'$.rcode', v->>'$.response.status_code', v->>'$.ocsf.status') IS NULL THEN 'missing_value' ELSE 'eligible' END AS reason, count(*) AS n
+    FROM f WHERE family IS NOT NULL GROUP BY 1, 2""",
+)
 def derivation_coverage(spark: SparkSession, folder: str) -> DataFrame:
     return derivations.coverage(_admitted(spark, folder))
 
