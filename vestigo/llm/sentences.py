@@ -109,6 +109,7 @@ def _opens(text: str, at: int, end: int) -> str:
     word = _WORD.match(text, at, end)[0]
     if word in ("cf.", "ca.", "e.g.", "i.e.", "z.") or _IDENTIFIER.match(word):
         return "name"
+    # a word in lower case is a name and the subject of a new sentence if a past tense or another script follows; behind a quotation that tells "x.exe stopped" from "asked the lead"
     second = _SECOND.match(text, at, min(end, at + 120))
     if second:
         s = second[1]
