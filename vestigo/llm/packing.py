@@ -99,6 +99,8 @@ def pack(sizes: DataFrame, identifier: str, tokens: str, capacity: int = CAPACIT
     cut = pieces_of(sizes, identifier, tokens, capacity)
     kind = dict(cut.dtypes)[identifier]
     shards = max(1, math.ceil(sizes.count() / shard_pieces))
+    if shards > 1:
+        cut = cut_lineage(cut)  # sizes are worked out once, for the full pieces and for the others
     whole = cut.where(F.col("n_tokens") == capacity).withColumn("container", F.concat_ws("-", F.lit("f"), F.col(identifier).cast("string"), "piece_no"))
     named = cut.where(F.col("n_tokens") < capacity).select(
         F.pmod(F.xxhash64(F.col(identifier).cast("string")), F.lit(shards)).alias("shard"), F.col(identifier).alias("id"), "piece_no", "start_token", "n_tokens"
