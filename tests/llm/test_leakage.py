@@ -2,6 +2,7 @@
 
 import random
 
+from vestigo.llm import leakage
 from vestigo.llm.leakage import align, align_scores, leaked_items, longest_run, ngrams, word_normaliser
 import numpy as np
 
@@ -37,7 +38,7 @@ def test_longest_run():
     assert run("abcdx", "zabcd") == 4 and run("", "a") == 0 and run("a", "") == 0 and run("aaa", "aaaaa") == 3 and run("abab", "xababab") == 4
 
 
-def test_exact_runs_by_brute_force(spark):
+def test_exact_runs_by_brute_force(spark, monkeypatch):
     rng = random.Random(4)
     vocabulary = [f"w{k}" for k in range(40)]
     items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(3, 60)))) for k in range(30)] + [(90, None), (91, ""), (92, "one"), (3, None)]
@@ -59,6 +60,7 @@ def test_exact_runs_by_brute_force(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string, score string")
     tests = spark.createDataFrame(items, "item_id long, text string")
     for limit in (200_000, 100):
+        monkeypatch.setattr(leakage, "SLICE_CHARS", 64_000_000 if limit > 100 else 1_500)
         found = leaked_items(frame, tests, pass_ngrams=limit).collect()
         assert {(r.doc_id, r.item_id) for r in found if r.run_words >= 12} == {p for p in want if p[0] is not None}
         assert len(found) == len({(r.doc_id, r.item_id) for r in found})

@@ -14,6 +14,7 @@ are scanned once for the items' n-grams; pairs with a seed are aligned.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -30,6 +31,8 @@ WINDOW_WORDS = 12
 MATCH, CHANGE, GAP = 2, -1, -1
 #: Item n-grams that one pass broadcasts (about 100 bytes each); more items go in further passes.
 PASS_NGRAMS = 200_000
+#: Characters of items that the driver reads at a time.
+SLICE_CHARS = 64_000_000
 #: Words of documents that are bounded and aligned together, items in one table of bounds, and cells of one bound matrix.
 GROUP_WORDS, TABLE_ITEMS, BOUND_CELLS = 30_000, 256, 4_000_000
 
@@ -200,8 +203,8 @@ def leaked_items(
 
     ``score`` and ``equal_words`` are of the best local alignment, ``run_words``
     is the longest shared run of consecutive words. Texts are taken whole.
-    ``items`` is a stated set that the driver reads; its words are broadcast in
-    passes of bounded size. Null and empty texts match nothing; repeated
+    ``items`` is a stated set; the driver reads it in slices of bounded size, and
+    its words are broadcast in passes of bounded size. Null and empty texts match nothing; repeated
     documents or items count once.
 
     Without ``every_passage`` only pairs with a seed are aligned: every pair
@@ -211,16 +214,19 @@ def leaked_items(
     """
     words = word_normaliser()
     kinds = dict(documents.dtypes)[document], dict(items.dtypes)[item]
-    held = sorted({(r[0], r[1]) for r in items.select(item, text).where(f"{item} is not null and {text} is not null").collect()})
-    tests = [(k, w) for k, w in ((k, words(t)) for k, t in held) if w]
+    held = items.select(F.col(item).alias("i"), F.col(text).alias("t")).where("i is not null and t is not null")
+    slices = max(1, math.ceil((held.agg(F.sum(F.length("t"))).first()[0] or 0) / SLICE_CHARS))
     blocks: list[list[tuple[object, list[str]]]] = [[]]
-    used = 0
-    for k, w in tests:
-        if used and used + len(w) > pass_ngrams:
-            blocks.append([])
-            used = 0
-        used += len(w)
-        blocks[-1].append((k, w))
+    for n in range(slices):
+        used = 0
+        part = held if slices == 1 else held.where(F.pmod(F.xxhash64("i"), F.lit(slices)) == n)
+        for k, w in ((k, words(t)) for k, t in sorted({(r[0], r[1]) for r in part.collect()})):
+            if blocks[-1] and (used + len(w) > pass_ngrams or not used):
+                blocks.append([])
+                used = 0
+            used += len(w)
+            if w:
+                blocks[-1].append((k, w))
     docs = documents.select(F.col(document).alias("d"), F.col(text).alias("t")).where("d is not null and t is not null and t != ''")
     if every_passage:
         found = [_every_pass(docs, block, kinds, max(1, min_score)) for block in blocks if block]
