@@ -16,12 +16,10 @@ def spread(df: DataFrame) -> DataFrame:
     A file with one row group is one task, however many cores wait. Only for
     work that costs far more than moving the rows.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) * 2 > cores:
-        return df
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < SPREAD_BYTES else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    # only of a small table are the files listed
+    return df.repartition(cores) if size < SPREAD_BYTES and len(df.inputFiles()) * 2 <= cores else df
 
 
 #: Tables above this size have splits enough.
