@@ -17,6 +17,23 @@ def _admitted(spark: SparkSession, folder: str) -> DataFrame:
     return derivations.admitted(table(spark, folder, "typed_events"), table(spark, folder, "participants"))
 
 
+@REGISTRY.query(
+    "metric_documents_content",
+    r"""WITH one AS (SELECT event_id, min(lower(trim(relation_name))) AS r, min(typed_event_json) AS j FROM typed_events WHERE event_id IS NOT NULL GROUP BY 1),
+    v AS (SELECT event_id, CASE WHEN json_valid(j) AND json_type(CASE WHEN json_valid(j) THEN j ELSE 'null' END::JSON) = 'OBJECT' THEN j::JSON END AS v FROM one WHERE r = 'ocsf_ext_livefire_system_metric'),
+    t AS (SELECT *, coalesce(v->>'$.header.time', v->>'$.ocsf.time', v->>'$.time', v->>'$.event_time') AS raw, json_type(v, '$.value_milli') AS k, v->>'$.value_milli' AS x FROM v WHERE v IS NOT NULL),
+    m AS (SELECT *, CASE WHEN regexp_matches(raw, '^\s*\d{1,17}\s*$') THEN trim(raw)::BIGINT WHEN regexp_matches(raw, '^\s*\d{4}-\d\d-\d\dT.*(Z|[+-]\d\d:\d\d)\s*$') THEN epoch_ms(try_cast(trim(raw) AS TIMESTAMPTZ)) END AS ms,
+      CASE WHEN k IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN trunc(x::DOUBLE)::BIGINT WHEN k = 'BOOLEAN' THEN (x = 'true')::BIGINT WHEN regexp_matches(x, '^\s*[+-]?\d+\s*$') THEN trim(x)::BIGINT END AS value FROM t)
+    SELECT v->>'$.metric' AS metric, v->>'$.unit' AS unit, ms // 300000 * 300000 AS window_start_ms, count(*) AS n, min(value) AS value_min, max(value) AS value_max, sum(value)::VARCHAR AS value_sum
+    FROM m WHERE ms >= 0 AND value IS NOT NULL AND event_id IN (SELECT event_id FROM participants WHERE entity_id IS NOT NULL AND role IS NOT NULL) GROUP BY 1, 2, 3""",
+)
+def metric_documents_content(spark: SparkSession, folder: str) -> DataFrame:
+    """The metric documents' numbers, added up over source types and scopes."""
+    d = derived_metric_documents(spark, folder)
+    total = F.sum(F.col("value_sum").cast("decimal(38,0)")).cast("string")
+    return d.groupBy("metric", "unit", "window_start_ms").agg(F.sum("n").alias("n"), F.min("value_min").alias("value_min"), F.max("value_max").alias("value_max"), total.alias("value_sum"))
+
+
 @REGISTRY.query("derived_metric_documents")
 def derived_metric_documents(spark: SparkSession, folder: str) -> DataFrame:
     return derivations.metric_documents(_admitted(spark, folder))
@@ -32,7 +49,19 @@ def derived_transition_documents(spark: SparkSession, folder: str) -> DataFrame:
     return derivations.transition_documents(_admitted(spark, folder))
 
 
-@REGISTRY.query("derived_entity_documents")
+@REGISTRY.query(
+    "derived_entity_documents",
+    """WITH rel AS (SELECT event_id, min(lower(trim(relation_name))) AS relation_name FROM typed_events WHERE event_id IS NOT NULL GROUP BY 1),
+    p AS (SELECT DISTINCT event_id, entity_id, coalesce(role, '') AS role FROM participants WHERE event_id IS NOT NULL AND entity_id IS NOT NULL),
+    j AS (SELECT p.*, relation_name FROM p LEFT JOIN rel USING (event_id)),
+    t AS (SELECT entity_id, count(*) AS participations, count(DISTINCT relation_name) AS n_relations, count(DISTINCT role) AS n_roles FROM j GROUP BY 1),
+    m AS (SELECT entity_id, role AS main_role FROM (SELECT entity_id, role, row_number() OVER (PARTITION BY entity_id ORDER BY count(*) DESC, role) AS r FROM j GROUP BY 1, 2) WHERE r = 1)
+    SELECT 'sha256:' || sha256('entity_rollup' || chr(0) || entity_id) AS document_id, 'entity_rollup' AS document_kind, 'kind: entity | entity: '
+      || CASE WHEN kind IN ('account', 'application', 'credential', 'datastore', 'device', 'file', 'identity', 'network_endpoint', 'process', 'resource', 'service', 'session') THEN replace(kind, '_', ' ') ELSE '<redacted:entity-kind>' END
+      || ' | main role: ' || CASE WHEN main_role IN ('actor', 'device', 'object', 'observer', 'owner', 'principal', 'recipient', 'resource', 'sender', 'source', 'subject', 'target') THEN replace(main_role, '_', ' ') ELSE '<redacted:participant-role>' END
+      || ' | relations: ' || n_relations || ' | participations: 1e' || (length(participations::VARCHAR) - 1) AS semantic_text,
+    entity_id, kind, participations, n_relations, n_roles, main_role FROM entities JOIN t USING (entity_id) JOIN m USING (entity_id)""",
+)
 def derived_entity_documents(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "typed_events").select("event_id", relation_key("relation_name").alias("relation_name"))
     return derivations.entity_documents(table(spark, folder, "entities"), table(spark, folder, "participants"), events)

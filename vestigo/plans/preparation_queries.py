@@ -76,7 +76,18 @@ def census_documents(spark: SparkSession, folder: str) -> DataFrame:
     return prepare.census(_projected(spark, folder, "text"))
 
 
-@REGISTRY.query("time_availability")
+@REGISTRY.query(
+    "time_availability",
+    rf"""WITH d AS (SELECT row_number() OVER () AS i, {_OK} AS ok, typed_event_json AS j FROM typed_events),
+    n AS (SELECT i, t.type, t.value, regexp_replace(t.fullkey, '\[\d+\]', '', 'g') AS path, regexp_extract(regexp_replace(t.fullkey, '(\[\d+\])+$', ''), '([^.]+)$', 1) AS name FROM d, json_tree(d.j) t WHERE d.ok AND t.fullkey != '$'
+      AND (t.type NOT IN ('OBJECT', 'ARRAY') OR t.value::VARCHAR IN ('{{}}', '[]'))),
+    k AS (SELECT *, list_position(['time', 'event_time', 'timestamp', 'observed_time', 'start_time'], trim(regexp_replace(lower(regexp_replace(name, '([a-z0-9])([A-Z])', '\1_\2', 'g')), '[^a-z0-9]+', '_', 'g'), '_')) AS place,
+      length(path) - length(replace(path, '.', '')) AS depth FROM n),
+    b AS (SELECT i, arg_min(type, (place, depth, path)) AS type, arg_min(value->>'$', (place, depth, path)) AS v FROM k WHERE place > 0 GROUP BY 1),
+    r AS (SELECT CASE WHEN type IS NULL THEN 'missing' WHEN type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN 'available' WHEN type = 'VARCHAR' AND try_cast(trim(v) AS DOUBLE) IS NOT NULL THEN 'available'
+      WHEN type = 'VARCHAR' AND regexp_matches(trim(v), '(Z|[+-]\d\d:\d\d)$') AND try_cast(trim(v) AS TIMESTAMPTZ) IS NOT NULL THEN 'available' ELSE 'present_unparsed' END AS time_availability FROM d LEFT JOIN b USING (i))
+    SELECT time_availability, count(*) AS n_rows FROM r GROUP BY 1""",
+)
 def time_availability(spark: SparkSession, folder: str) -> DataFrame:
     return prepare.time_accounting(_projected(spark, folder, "time"))
 
