@@ -144,9 +144,11 @@ def align_scores(a: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
 class Bounds:
     """For a coded text, the items with which it can reach a score at all.
 
-    In an alignment each word of the text's part is equal to a word of the item
-    or costs a change or a gap, so no score exceeds the best sum of a stretch
-    of the text in which words of the item count MATCH and others the smaller cost.
+    Two bounds. A word of the item is equal to one word of the text at most, so
+    equal words are no more than both have in common, repetitions counted. And
+    each word of the text's part is equal to a word of the item or costs a
+    change or a gap, so no score exceeds the best sum of a stretch of the text
+    in which words of the item count MATCH and others the smaller cost.
     """
 
     def __init__(self, items: list[np.ndarray], n_words: int) -> None:
@@ -156,21 +158,27 @@ class Bounds:
             held = np.unique(np.concatenate(part))
             local = np.full(n_words + 1, len(held), np.int32)  # the last code stands for words of no item
             local[held] = np.arange(len(held))
-            worth = np.full((len(held) + 1, len(part)), max(CHANGE, GAP), np.int32)
+            often = np.zeros((len(held) + 1, len(part)), np.uint16)
             for k, codes in enumerate(part):
-                worth[local[codes], k] = MATCH
-            self.tables.append((s, local, worth))
+                word, n = np.unique(local[codes], return_counts=True)
+                often[word, k] = np.minimum(n, 65_535)
+            self.tables.append((s, local, often))
 
     def items(self, text: np.ndarray, score: int) -> list[int]:
         out: list[int] = []
-        step = max(1, BOUND_CELLS // max(1, len(text)))
-        for first, local, worth in self.tables:
-            codes = local[text]
-            for s in range(0, worth.shape[1], step):
-                total = np.cumsum(worth[:, s : s + step][codes], axis=0, dtype=np.int32)
+        word, n = np.unique(text, return_counts=True)
+        n = np.minimum(n, 65_535).astype(np.uint16)[:, None]
+        for first, local, often in self.tables:
+            common = np.minimum(often[local[word]], n).sum(axis=0, dtype=np.int64)
+            hopeful = np.flatnonzero(MATCH * common >= score)
+            step = max(1, BOUND_CELLS // max(1, len(text)))
+            codes = local[text] if len(hopeful) else None
+            for s in range(0, len(hopeful), step):
+                some = hopeful[s : s + step]
+                total = np.cumsum(np.where(often[codes[:, None], some] > 0, MATCH, max(CHANGE, GAP)), axis=0, dtype=np.int32)
                 low = np.minimum(np.minimum.accumulate(total, axis=0), 0)
                 total[1:] -= low[:-1]
-                out.extend((np.flatnonzero(total.max(axis=0) >= score) + first + s).tolist())
+                out.extend((some[total.max(axis=0) >= score] + first).tolist())
         return out
 
 
