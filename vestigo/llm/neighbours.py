@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vestigo.llm import hnsw
+from vestigo.session import cut_lineage
 
 #: Vectors of a shard. Beyond MAX_TERRITORIES shards grow up to MAX_HOME, and beyond that territories are cut into parts that are all asked.
 HOME, MAX_HOME, MAX_TERRITORIES = 4_096, 65_536, 2_048
@@ -296,6 +297,7 @@ def recall(found: DataFrame, vectors: DataFrame, identifier: str = "document_id"
     past all rows; each split keeps k candidates per query.
     """
     a, b = f"{identifier}_a", f"{identifier}_b"
+    found = cut_lineage(found)  # read twice, searched once
     v = F.col(vector)
     rows = vectors.where(F.col(identifier).isNotNull() & usable(v, dimensions)).select(F.col(identifier).alias("id"), v.alias("v"))
     drawn = found.select(F.col(a).alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(queries)
