@@ -85,6 +85,15 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.crc32(term), F.lit(buckets)).cast("int")
 
 
+def term_counts(rows: DataFrame, tokens: str) -> DataFrame:
+    """``rows`` with (term, tf) for every distinct token instead of the array, by the runs of equal tokens in order: a document is counted where it stands, without an exchange."""
+    keep = [c for c in rows.columns if c != tokens]
+    ordered = rows.where(F.size(tokens) > 0).withColumn("_s", F.array_sort(tokens))
+    begins = F.filter(F.sequence(F.lit(0), F.size("_s") - 1), lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
+    runs = F.transform("_b", lambda at, j: F.struct(F.get("_s", at).alias("term"), (F.coalesce(F.get("_b", j + 1), F.size("_s")) - at).alias("tf")))
+    return ordered.withColumn("_b", begins).select(*keep, F.explode(runs).alias("_p")).select(*keep, "_p.term", "_p.tf")
+
+
 def write_index(documents: DataFrame, path: str, identifier: str = "document_id", text: str = "text", tokenizer: str = "camel", keep: tuple[str, ...] = (), by: str | None = None) -> None:
     """The tables of an index and its manifest.
 
@@ -114,7 +123,7 @@ def write_index(documents: DataFrame, path: str, identifier: str = "document_id"
     corpus = put("corpus", lengths.groupBy("_by").agg(F.count("*").alias("n_docs"), F.sum("doc_len").alias("n_tokens")))
     total = corpus.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
     buckets = int(min(MOST_BUCKETS, max(1, total[1] // BUCKET_TOKENS)))
-    each = counted.select(*own, F.explode("_t").alias("term")).groupBy(*own, "term").agg(F.count("*").cast("int").alias("tf"))
+    each = term_counts(counted.select(*own, "_t"), "_t")
     # a frequent term is spread over several files of its bucket
     placed = each.withColumn("bucket", term_bucket(F.col("term"), buckets)).repartition("bucket", F.pmod(F.xxhash64("_id"), F.lit(4)))
     postings = put("postings", placed.sortWithinPartitions("bucket", "term"), True)
