@@ -32,9 +32,9 @@ KMEANS_ROUNDS = 10
 CROWDED = 1.5
 #: Queries from elsewhere that one copy of a shard answers, in shard sizes; with more of them the shard has several copies.
 ASKED = 8
-#: Shards asked per query at most, the beam, and links of a node: in general, and where only very similar vectors count, which stand out in a graph.
-OPEN_PROBES, OPEN_BEAM, OPEN_WIDTH = 40, 192, 24
-NEAR_PROBES, NEAR_BEAM, NEAR_WIDTH, NEAR_SIMILARITY = 10, 16, 24, 0.85
+#: Shards asked per query at most, the beam, links of a node, and the beam of its insertion: in general, and where only very similar vectors count, which stand out in a graph.
+OPEN_PROBES, OPEN_BEAM, OPEN_WIDTH, OPEN_INSERT = 40, 192, 24, 32
+NEAR_PROBES, NEAR_BEAM, NEAR_WIDTH, NEAR_INSERT, NEAR_SIMILARITY = 10, 16, 24, 20, 0.85
 #: With a least similarity, territories this many standard deviations away aren't asked.
 NEAR_DEVIATIONS = 2.0
 
@@ -169,7 +169,7 @@ def nearest_keys(keyed: DataFrame, dimensions: int, n: int, k: int, min_similari
         return keyed.sparkSession.createDataFrame([], empty)
     asks = picked.column("q").to_numpy(zero_copy_only=False).astype(bool)
     plan = draw_map(_unit(picked.column("v").combine_chunks(), dimensions), asks, n, min_similarity, home, probes)
-    beam, width = (NEAR_BEAM, NEAR_WIDTH) if plan.reach is not None else (OPEN_BEAM, OPEN_WIDTH)
+    beam, width, insert = (NEAR_BEAM, NEAR_WIDTH, NEAR_INSERT) if plan.reach is not None else (OPEN_BEAM, OPEN_WIDTH, OPEN_INSERT)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -220,7 +220,7 @@ def nearest_keys(keyed: DataFrame, dimensions: int, n: int, k: int, min_similari
         own = int(inside.sum())
         if not own:
             return
-        graph = hnsw.build(x[:own], ((k2[:own].astype(np.int64) & 0xFFFFFFFF) + 0.5) / 2.0**32, width=width)
+        graph = hnsw.build(x[:own], ((k2[:own].astype(np.int64) & 0xFFFFFFFF) + 0.5) / 2.0**32, insert, width)
         node = np.empty(own, np.int64)
         node[graph.order] = np.arange(own)
         mine, asked = np.flatnonzero(q[:own] & (home[:own] == 1)), np.flatnonzero(~inside)
